@@ -9,7 +9,7 @@ from cohortline.functions.labels import (
     is_combined_phase,
     traffic_light,
 )
-from cohortline.functions.ratios import rate, ratio, round_rates
+from cohortline.functions.ratios import rate, ratio, round_rates, row_count
 from cohortline.functions.text import blank_to_null, joined_or_null, trimmed_or_null
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "rate",
     "ratio",
     "round_rates",
+    "row_count",
     "surrogate_key",
     "traffic_light",
     "trimmed_or_null",

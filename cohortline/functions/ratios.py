@@ -10,6 +10,11 @@ def ratio(part: Column, whole: Column, digits: int | None = 4) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
+def row_count() -> Column:
+    """Aggregate: number of rows."""
+    return F.count(F.lit(1))
+
+
 def rate(condition: Column, digits: int | None = None) -> Column:
     """Aggregate: share of rows on which a boolean holds, NULLs left out."""
     value = F.avg(condition.cast("int"))

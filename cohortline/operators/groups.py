@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortline.functions import row_count
+
 
 def mode_per_group(frame: DataFrame, group: str, value: str, **totals: Column) -> DataFrame:
     """Most frequent value per group, ties in alphabetical order, NULL last but eligible.
@@ -14,7 +16,7 @@ def mode_per_group(frame: DataFrame, group: str, value: str, **totals: Column) -
     come out of the same two aggregations, both combined on the map side.
     """
     counted = frame.groupBy(group, value).agg(
-        F.count(F.lit(1)).alias("_n"), *(column.alias(name) for name, column in totals.items())
+        row_count().alias("_n"), *(column.alias(name) for name, column in totals.items())
     )
     first = F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).isNull().alias("none"), F.col(value).alias("v")))
     return (
@@ -36,7 +38,7 @@ def per_group_totals(frame: DataFrame, group: str, **totals: Column) -> DataFram
 
 def value_histogram(frame: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs per group."""
-    return frame.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    return frame.groupBy(*groups, value).agg(row_count().alias("n"))
 
 
 def percentile_bands(histogram: DataFrame, groups: Sequence[str], value: str, points: dict[str, float]) -> DataFrame:

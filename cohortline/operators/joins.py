@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions import normalized_name
+from cohortline.functions import normalized_name, row_count
 
 
 def lookup(fact: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
@@ -38,6 +38,6 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     rows is one row of it. NULL keys are not checked.
     """
     counted = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("child_rows")
+        row_count().alias("child_rows")
     )
     return counted.join(parent, F.col("_key") == parent[parent_key], "left_anti").withColumnRenamed("_key", key)

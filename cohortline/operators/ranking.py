@@ -3,6 +3,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortline.functions import row_count
+
 from cohortline.workspace import Workspace
 
 _ROW_BITS = 33
@@ -37,7 +39,7 @@ def number_rows(frame: DataFrame, name: str, workspace: Workspace, *order: Colum
     ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order)
     written = workspace.write_fresh(ordered.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     split = F.shiftrightunsigned("_id", _ROW_BITS)
-    sizes = written.groupBy(split.alias("_split")).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = written.groupBy(split.alias("_split")).agg(row_count().alias("_rows"))
     before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     index = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

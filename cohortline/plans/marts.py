@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions import days_between, ratio, surrogate_key
+from cohortline.functions import days_between, ratio, row_count, surrogate_key
 from cohortline.operators import mode_per_group
 
 
@@ -23,7 +23,7 @@ def dim_sponsor(stg_trials: DataFrame) -> DataFrame:
         named,
         "sponsor_name",
         "sponsor_class",
-        trials_total=F.count(F.lit(1)),
+        trials_total=row_count(),
         trials_completed=F.count_if(F.col("overall_status") == "COMPLETED"),
     )
     return sponsors.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions import is_combined_phase, normalized_name, ratio, surrogate_key
+from cohortline.functions import is_combined_phase, normalized_name, ratio, row_count, surrogate_key
 from cohortline.operators import (
     active_years,
     add_lag,
@@ -43,12 +43,12 @@ def application_status(applications_parsed: DataFrame) -> DataFrame:
 
 
 def fda_sponsors(application_status: DataFrame) -> DataFrame:
-    """Applicants under their normalized name."""
+    """Applicants under their normalized name. An application is one row of the input."""
     return (
         application_status.where(F.col("sponsor_name").isNotNull())
         .groupBy(normalized_name(F.col("sponsor_name")).alias("sponsor_name_norm"))
         .agg(
-            F.count_distinct("application_number").alias("fda_application_count"),
+            row_count().alias("fda_application_count"),
             F.bool_or("is_approved").alias("has_fda_approval"),
         )
     )
@@ -93,7 +93,7 @@ def condition_funnel(trial_funnel: DataFrame) -> DataFrame:
     return (
         trial_funnel.groupBy("condition_name")
         .agg(
-            F.count(F.lit(1)).alias("trial_count"),
+            row_count().alias("trial_count"),
             F.count_if("multi_condition_flag").alias("multi_condition_trials"),
             F.count_if("matched_to_fda").alias("matched_trials"),
             F.count_if("is_phase2").alias("condition_phase2_trials"),
@@ -147,13 +147,13 @@ def metric_sponsor_cohorts(sponsor_activity: DataFrame, dim_sponsor: DataFrame)
         sponsor_activity.select("cohort_year", F.explode("activity_years").alias("activity_year"))
         .where("activity_year >= cohort_year")
         .groupBy("cohort_year", "activity_year")
-        .agg(F.count(F.lit(1)).alias("active_sponsor_count"))
+        .agg(row_count().alias("active_sponsor_count"))
     )
     members = lookup(sponsor_activity.select("sponsor_key", "cohort_year"), dim_sponsor, "sponsor_key", "inner")
     # Rates have four digits; averaging them as decimals keeps ties exact.
-    mean_rate = F.sum(F.col("success_rate").cast("decimal(5,4)")) / F.count(F.lit(1))
+    mean_rate = F.sum(F.col("success_rate").cast("decimal(5,4)")) / row_count()
     cohorts = members.groupBy("cohort_year").agg(
-        F.count(F.lit(1)).alias("cohort_sponsor_count"),
+        row_count().alias("cohort_sponsor_count"),
         F.sum("trials_total").alias("cohort_total_trials"),
         F.sum("trials_completed").alias("cohort_total_completed"),
         F.round(mean_rate, 4).cast("double").alias("cohort_avg_success_rate"),

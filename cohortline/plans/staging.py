@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions import surrogate_key
+from cohortline.functions import row_count, surrogate_key
 from cohortline.operators import mode_per_group, unnest
 
 TRIAL_COLUMNS = [
@@ -69,7 +69,7 @@ def stg_approvals(applications_parsed: DataFrame) -> DataFrame:
 def excluded_applications(applications_parsed: DataFrame) -> DataFrame:
     """Audit row: how many applications have no submission to put in staging."""
     empty = F.coalesce(F.size("submissions"), F.lit(0)) == 0
-    return applications_parsed.where(empty).agg(F.count(F.lit(1)).alias("excluded_count")).select(
+    return applications_parsed.where(empty).agg(row_count().alias("excluded_count")).select(
         F.lit("stg_approvals").alias("model_name"),
         F.lit("application has no submissions array (empty or null)").alias("exclusion_reason"),
         "excluded_count",

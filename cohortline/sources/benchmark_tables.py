@@ -99,7 +99,9 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     key = F.col("o_orderkey")
-    months = ((F.pmod(F.col("o_custkey"), F.lit(7)) * 60) - 60).cast("int")
+    # Sponsors start between 1990 and 2010; a fifth of a sponsor's studies come ten years later.
+    later = F.when(_every(key, 5), 120).otherwise(0)
+    months = (F.pmod(F.col("o_custkey"), F.lit(5)) * 60 - 60 + later).cast("int")
     start = F.add_months(F.col("o_orderdate").cast("date"), months)
     end = F.add_months("last_ship", months)
     digit = F.substring("o_orderpriority", 1, 1)
@@ -264,11 +266,12 @@ def raw_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions of a user's record in arrival order: page, position in page, time."""
+    """Versions of a user's record in arrival order: time, page, position in page."""
     key = F.col("event_id")
     return read_table(spark, sf_dir, "events").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("record_id"),
-        F.to_json(F.struct("event_id", "event_type", "props")).alias("payload"),
+        "event_id",
+        "event_type",
         F.col("ts").cast("timestamp").alias("fetched_at"),
         F.floor(key / PAGE_SIZE).cast("bigint").alias("page"),
         F.pmod(key, F.lit(PAGE_SIZE)).cast("bigint").alias("pos"),
@@ -276,22 +279,21 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Response pages of at most PAGE_SIZE records, as landed: one JSON text per page.
+    """Landed response pages: (page, fetched_at, body), PAGE_SIZE records at most in each.
 
     Every seventh page lacks its record list, as an empty response does.
     """
-    records = event_records(spark, sf_dir)
-    body = F.struct(
-        F.col("pos"),
-        F.struct(F.col("record_id").alias("user"), F.col("payload").alias("body"), F.col("fetched_at").alias("at")).alias(
-            "record"
-        ),
+    record = F.struct(F.col("record_id").alias("user"), "event_id", "event_type")
+    pages = (
+        event_records(spark, sf_dir)
+        .groupBy("page")
+        .agg(
+            F.max("fetched_at").alias("fetched_at"),
+            F.sort_array(F.collect_list(F.struct("pos", record.alias("record")))).alias("items"),
+        )
     )
-    pages = records.groupBy("page").agg(F.sort_array(F.collect_list(body)).alias("items"))
-    studies = F.when(~_every(F.col("page"), 7, 3), F.transform("items", lambda item: item["record"]))
+    records = F.when(~_every(F.col("page"), 7, 3), F.transform("items", lambda item: item["record"]))
+    token = (F.col("page") + 1).cast("string")
     return pages.select(
-        "page",
-        F.to_json(
-            F.struct(studies.alias("studies"), (F.col("page") + 1).cast("string").alias("nextPageToken"))
-        ).alias("body"),
+        "page", "fetched_at", F.to_json(F.struct(records.alias("studies"), token.alias("nextPageToken"))).alias("body")
     )
