@@ -26,9 +26,15 @@ def match_by_name(fact: DataFrame, names: DataFrame, name: str, normalized: str)
     return fact.join(names, normalized_name(F.col(name)) == F.col(normalized), "left")
 
 
+def with_summary(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Every row with the columns of a one-row result, taken as a scalar subquery."""
+    packed = summary.select(F.struct(*summary.columns)).scalar()
+    return rows.select("*", packed.alias("_summary")).select(*rows.columns, "_summary.*")
+
+
 def one_row(*frames: DataFrame) -> DataFrame:
     """Single-row results side by side."""
-    return reduce(lambda left, right: left.crossJoin(right), frames)
+    return reduce(with_summary, frames)
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import ratio, row_count
-from cohortline.operators import one_row, split_at, top_k
+from cohortline.operators import split_at, top_k, with_summary
 from cohortline.plans.dashboards import CENSOR_CUTOFF
 
 
@@ -28,7 +28,7 @@ def insight_phase2_band(condition_funnel: DataFrame, min_phase2_trials: int = 10
     best = top_k(
         shown.where(in_band), k, F.col("phase2_to_phase3_rate").desc(), F.col("condition_name").asc_nulls_first()
     )
-    return one_row(best, summary)
+    return with_summary(best, summary)
 
 
 def insight_approval_noise(condition_funnel: DataFrame, min_phase3_trials: int = 5, k: int = 15) -> DataFrame:
@@ -45,13 +45,13 @@ def insight_approval_noise(condition_funnel: DataFrame, min_phase3_trials: int =
         F.col("phase3_to_approval_rate").desc(),
         F.col("condition_name").asc_nulls_first(),
     )
-    return one_row(best, summary)
+    return with_summary(best, summary)
 
 
 def insight_fda_coverage(metric_phase_transition: DataFrame) -> DataFrame:
     counts = metric_phase_transition.groupBy("matched_to_fda").agg(row_count().alias("trial_count"))
     total = counts.agg(F.sum("trial_count").alias("_total"))
-    return one_row(counts, total).select(
+    return with_summary(counts, total).select(
         "matched_to_fda", "trial_count", ratio(F.col("trial_count"), F.col("_total"), None).alias("share")
     )
 
@@ -66,7 +66,7 @@ def insight_cohort_2010(metric_sponsor_cohorts: DataFrame, cohort_year: int = 20
         (F.col("cohort_year") == cohort_year) & (F.col("years_since_cohort") <= years)
     ).select("years_since_cohort", "survivorship_rate")
     points = _value_at(curve, "years_since_cohort", {5: "rate_after_5", 10: "rate_after_10"}, "survivorship_rate")
-    return one_row(curve, points)
+    return with_summary(curve, points)
 
 
 def insight_survival_5y(metric_sponsor_cohorts: DataFrame, first: int = 2000, last: int = 2019) -> DataFrame:
@@ -80,7 +80,7 @@ def insight_volume_growth(metric_duration_trends: DataFrame, first: int = 1990,
         "start_year", "trial_count"
     )
     ends = _value_at(series, "start_year", {1990: "_from", 2020: "_to"}, "trial_count")
-    return one_row(series, ends).select(
+    return with_summary(series, ends).select(
         "start_year", "trial_count", ratio(F.col("_to"), F.col("_from"), 1).alias("growth_factor")
     )
 
@@ -90,7 +90,7 @@ def insight_duration_censoring(metric_duration_trends: DataFrame, first: int = 1
         "start_year", "median_duration_days"
     )
     points = _value_at(series, "start_year", {1990: "median_1990", 2020: "median_2020"}, "median_duration_days")
-    return one_row(split_at(series, "start_year", CENSOR_CUTOFF), points)
+    return with_summary(split_at(series, "start_year", CENSOR_CUTOFF), points)
 
 
 def kpi_phase2_to_phase3(condition_funnel: DataFrame) -> DataFrame:

@@ -273,7 +273,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "event_type",
         F.col("ts").cast("timestamp").alias("fetched_at"),
-        F.floor(key / PAGE_SIZE).cast("bigint").alias("page"),
+        F.expr(f"event_id div {PAGE_SIZE}").alias("page"),
         F.pmod(key, F.lit(PAGE_SIZE)).cast("bigint").alias("pos"),
     )
 
@@ -281,7 +281,8 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed response pages: (page, fetched_at, body), PAGE_SIZE records at most in each.
 
-    Every seventh page lacks its record list, as an empty response does.
+    Every page is followed by one without a record list, as an empty response is;
+    those are numbered downwards from -1.
     """
     record = F.struct(F.col("record_id").alias("user"), "event_id", "event_type")
     pages = (
@@ -292,8 +293,14 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sort_array(F.collect_list(F.struct("pos", record.alias("record")))).alias("items"),
         )
     )
-    records = F.when(~_every(F.col("page"), 7, 3), F.transform("items", lambda item: item["record"]))
-    token = (F.col("page") + 1).cast("string")
-    return pages.select(
-        "page", "fetched_at", F.to_json(F.struct(records.alias("studies"), token.alias("nextPageToken"))).alias("body")
+    filled = F.struct(
+        F.col("page").alias("page"),
+        F.to_json(
+            F.struct(
+                F.transform("items", lambda item: item["record"]).alias("studies"),
+                (F.col("page") + 1).cast("string").alias("nextPageToken"),
+            )
+        ).alias("body"),
     )
+    empty = F.struct((-F.col("page") - 1).alias("page"), F.lit("{}").alias("body"))
+    return pages.select("fetched_at", F.inline(F.array(filled, empty))).select("page", "fetched_at", "body")

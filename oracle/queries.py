@@ -135,14 +135,14 @@ def _statements() -> dict[str, str]:
         "src_raw_studies": "select nct_id, fetched_at, nct_id as document_key from raw_studies",
         "src_raw_applications": """select application_number, fetched_at, application_number as document_key
           from raw_applications""",
-        "ingest_page_unpack": "select page, pos, record_id from records where page % 7 <> 3",
+        "ingest_page_unpack": "select page, pos, record_id from records",
         "ingest_record_key": """select 'studies' as source, nct_id as record_id from raw_studies
           union all select 'applications', application_number from raw_applications""",
         "ingest_keyset_filter": "select * from raw_applications where application_number > '5'",
         "ingest_upsert": f"select * from records {LATEST}",
         "ingest_incremental": f"""select record_id, event_id, fetched_at, page, pos from (
           select * replace (max(fetched_at) over (partition by page) as fetched_at) from records)
-          where page % 7 <> 3 {LATEST}""",
+          {LATEST}""",
         "gate_raw_nonempty": """select 'raw_studies' as source, (select count(*) from raw_studies) > 0 as has_rows
           union all select 'raw_applications', (select count(*) from raw_applications) > 0""",
         "source_freshness": """select source, age_hours,
