@@ -9,7 +9,7 @@ from cohortline.operators.groups import (
     percentile_bands,
     value_histogram,
 )
-from cohortline.operators.joins import lookup, match_by_name, one_row, orphans, with_summary
+from cohortline.operators.joins import lookup, lookup_with_null, match_by_name, one_row, orphans, with_summary
 from cohortline.operators.ranking import first_per_group, number_rows, rows_of_top_members, top_k
 from cohortline.operators.series import add_lag, add_launch_value, add_share, split_at
 
@@ -22,6 +22,7 @@ __all__ = [
     "first_per_group",
     "latest_by_key",
     "lookup",
+    "lookup_with_null",
     "match_by_name",
     "mode_per_group",
     "number_rows",

@@ -1,29 +1,68 @@
-"""Joins. None carries a broadcast hint.
+"""Joins of facts with lookup tables.
 
-Lookup tables are read from written files, so their size is known when the plan
-is made: below ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and
-the fact side is not shuffled; above it both sides are shuffled and adaptive
-execution splits the hot partitions of the fact side.
+A lookup table is broadcast only after its rows have been counted and found to be
+few. Beyond that bound the fact is shuffled, except for the rows of its heaviest
+keys, which meet their few lookup rows by broadcast. Both ways give all rows.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import normalized_name, row_count
+from cohortline.operators.ranking import top_k
+
+# Lookup rows are a key and a few attributes, some hundred bytes each.
+BROADCAST_ROWS = 100_000
+# Any key outside the heaviest thousand holds less than a thousandth of the rows.
+HEAVY_KEYS = 1_000
 
 
 def lookup(fact: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Rows of the fact with the columns of a dimension that is unique on ``on``."""
-    return fact.join(dimension, on, how)
+    """Rows of the fact with the columns of a dimension that is unique on ``on``.
+
+    ``how`` is left or inner. The dimension should be a stored table: counting one
+    reads file footers only.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if dimension.count() <= BROADCAST_ROWS:
+        return fact.join(F.broadcast(dimension), keys, how)
+    present = reduce(and_, (F.col(key).isNotNull() for key in keys))
+    keyed = fact.where(present)
+    counts = keyed.groupBy(*keys).agg(row_count().alias("_rows"))
+    heavy = F.broadcast(top_k(counts, HEAVY_KEYS, F.col("_rows").desc(), *map(F.col, keys)).select(*keys))
+    on_heavy = keyed.join(heavy, keys, "left_semi").join(
+        F.broadcast(dimension.join(heavy, keys, "left_semi")), keys, how
+    )
+    on_others = keyed.join(heavy, keys, "left_anti").join(dimension, keys, how)
+    joined = on_heavy.unionByName(on_others)
+    if how == "left":
+        # NULL matches nothing and would hash to one partition.
+        joined = joined.unionByName(fact.where(~present), allowMissingColumns=True)
+    return joined
+
+
+def lookup_with_null(fact: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
+    """Left lookup on a text key for which NULL is a key like any other."""
+
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.select("*", F.col(on).isNull().alias("_none"), F.coalesce(on, F.lit("")).alias("_value"))
+
+    return lookup(keyed(fact), keyed(dimension).drop(on), ["_none", "_value"]).drop("_none", "_value")
 
 
 def match_by_name(fact: DataFrame, names: DataFrame, name: str, normalized: str) -> DataFrame:
-    """Left join on the normalized name; ``names`` is unique on ``normalized``."""
-    return fact.join(names, normalized_name(F.col(name)) == F.col(normalized), "left")
+    """Left lookup of a normalized name; ``matched`` tells whether there was one.
+
+    ``names`` is unique on ``normalized``.
+    """
+    found = names.select("*", F.lit(True).alias("matched"))
+    matched = lookup(fact.withColumn(normalized, normalized_name(F.col(name))), found, normalized)
+    return matched.withColumn("matched", F.col("matched").isNotNull()).drop(normalized)
 
 
 def with_summary(rows: DataFrame, summary: DataFrame) -> DataFrame:

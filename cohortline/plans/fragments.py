@@ -202,7 +202,7 @@ def join_left_on(w: Warehouse) -> DataFrame:
 def join_normalized_name(w: Warehouse) -> DataFrame:
     return op.match_by_name(w.dim_sponsor, w.fda_sponsors, "sponsor_name", "sponsor_name_norm").select(
         "sponsor_name",
-        F.col("sponsor_name_norm").isNotNull().alias("matched_to_fda"),
+        F.col("matched").alias("matched_to_fda"),
         "fda_application_count",
     )
 
@@ -358,7 +358,7 @@ def win_row_number_over_agg(w: Warehouse) -> DataFrame:
 
 
 def win_partition_count(w: Warehouse) -> DataFrame:
-    return op.per_group_totals(w.bridge_trial_condition, "nct_id", _n=fn.row_count()).select(
+    return op.per_group_totals(w.bridge_trial_condition, "nct_id", w.workspace, _n=fn.row_count()).select(
         "bridge_key", (F.col("_n") > 1).alias("multi_condition_flag")
     )
 
@@ -367,6 +367,7 @@ def win_partition_sum(w: Warehouse) -> DataFrame:
     totals = op.per_group_totals(
         w.trial_funnel,
         "condition_name",
+        w.workspace,
         condition_phase2_trials=F.count_if("is_phase2"),
         condition_phase3_trials=F.count_if("is_phase3"),
     )

@@ -15,7 +15,7 @@ from cohortline.operators import (
     active_years,
     add_lag,
     add_launch_value,
-    lookup,
+    lookup_with_null,
     match_by_name,
     percentile_bands,
     value_histogram,
@@ -70,7 +70,8 @@ def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFram
         "phase",
         "sponsor_name",
     )
-    return match_by_name(trials, fda_sponsors, "sponsor_name", "sponsor_name_norm").select(
+    approvals = fda_sponsors.select("sponsor_name_norm", "has_fda_approval")
+    return match_by_name(trials, approvals, "sponsor_name", "sponsor_name_norm").select(
         "nct_id",
         F.col("first.key").alias("condition_key"),
         F.col("first.name").alias("condition_name"),
@@ -81,7 +82,7 @@ def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFram
         is_combined_phase(F.col("phase"), "PHASE2").alias("is_phase2"),
         is_combined_phase(F.col("phase"), "PHASE3").alias("is_phase3"),
         "sponsor_name",
-        F.col("sponsor_name_norm").isNotNull().alias("matched_to_fda"),
+        F.col("matched").alias("matched_to_fda"),
         F.coalesce("has_fda_approval", F.lit(False)).alias("has_fda_approval"),
     )
 
@@ -136,10 +137,7 @@ def sponsor_activity(fct_trials: DataFrame) -> DataFrame:
 def metric_phase_transition(trial_funnel: DataFrame, condition_funnel: DataFrame) -> DataFrame:
     """The trial rows with the stage volumes of their condition on each."""
     volumes = condition_funnel.drop("trial_count", "multi_condition_trials", "matched_trials")
-    volumes = volumes.withColumnRenamed("condition_name", "_condition")
-    return trial_funnel.join(
-        volumes, F.col("condition_name").eqNullSafe(F.col("_condition")), "left"
-    ).drop("_condition")
+    return lookup_with_null(trial_funnel, volumes, "condition_name")
 
 
 def metric_sponsor_cohorts(sponsor_activity: DataFrame, dim_sponsor: DataFrame) -> DataFrame:
@@ -149,7 +147,8 @@ def metric_sponsor_cohorts(sponsor_activity: DataFrame, dim_sponsor: DataFrame)
         .groupBy("cohort_year", "activity_year")
         .agg(row_count().alias("active_sponsor_count"))
     )
-    members = lookup(sponsor_activity.select("sponsor_key", "cohort_year"), dim_sponsor, "sponsor_key", "inner")
+    # One row per sponsor on both sides, so no key can be hot.
+    members = sponsor_activity.select("sponsor_key", "cohort_year").join(dim_sponsor, "sponsor_key")
     # Rates have four digits; averaging them as decimals keeps ties exact.
     mean_rate = F.sum(F.col("success_rate").cast("decimal(5,4)")) / row_count()
     cohorts = members.groupBy("cohort_year").agg(
@@ -161,7 +160,7 @@ def metric_sponsor_cohorts(sponsor_activity: DataFrame, dim_sponsor: DataFrame)
     curve = add_launch_value(
         counted, "cohort_launch_sponsor_count", "active_sponsor_count", "cohort_year", "activity_year"
     )
-    return lookup(curve, cohorts, "cohort_year").select(
+    return curve.join(cohorts, "cohort_year", "left").select(
         surrogate_key("cohort_year", "activity_year").alias("cohort_activity_key"),
         "cohort_year",
         "activity_year",

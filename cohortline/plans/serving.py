@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions import fill_missing, rate, ratio, row_count
-from cohortline.operators import lookup, one_row, top_k
+from cohortline.operators import one_row, top_k
 
 FUNNEL_COLUMNS = [
     "condition_name",
@@ -119,7 +119,7 @@ def termination_rate_by_sponsor_class(fct_trials: DataFrame, dim_sponsor: DataFr
     )
     classes = dim_sponsor.select("sponsor_key", "sponsor_class")
     return (
-        lookup(per_sponsor, classes, "sponsor_key")
+        per_sponsor.join(classes, "sponsor_key", "left")
         .groupBy(fill_missing(F.col("sponsor_class"), "UNKNOWN").alias("sponsor_class"))
         .agg(
             F.sum("trials").alias("trial_count"),

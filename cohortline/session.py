@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Joins carry no broadcast hints: a side is broadcast when its measured size
-    # is under the threshold, otherwise hot partitions of the larger side are split.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

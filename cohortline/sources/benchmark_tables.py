@@ -6,8 +6,8 @@ are serialized to JSON and parsed back like real ones.
 
 Nothing here collects a list that grows with the number of input rows of one
 key: nested arrays are sets over fixed domains (brand and type names, part
-names, seven line numbers, days of the calendar), and sets are built map-side
-first, so one key holding a third of all line items costs no more than others.
+names, numbered slots, days of the calendar), and sets are built map-side first,
+so one key holding a third of all line items costs no more than others.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.operators import lookup
+
 SITES = 25
+OUTCOMES = 32
 PAGE_SIZE = 1000
 
 # How the benchmark codes map onto registry codes.
@@ -55,11 +58,25 @@ def study_key(key: Column) -> Column:
     return F.concat(F.lit("NCT"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
+def _slot_bit(column: str, slots: int) -> Column:
+    """The slot of a number as one bit, so that a set of slots is one integer."""
+    return F.expr(f"shiftleft(1L, cast(pmod({column}, {slots}) as int))")
+
+
+def _slots(bits: str, slots: int, label: str, field: str) -> Column:
+    """Objects naming the slots that are set; NULL stays NULL."""
+    taken = F.filter(
+        F.sequence(F.lit(0), F.lit(slots - 1)), lambda n: F.call_function("getbit", F.col(bits), n) == 1
+    )
+    named = F.transform(taken, lambda n: F.struct(F.concat(F.lit(label), n.cast("string")).alias(field)))
+    return F.when(F.col(bits).isNotNull(), named)
+
+
 def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Per order: last ship date and the sets that fill the nested arrays."""
     name = F.concat_ws(" ", "p_brand", "p_type")
     condition = (
-        F.when(F.col("p_partkey").isNull(), None)
+        F.when(F.col("has_part").isNull(), None)
         .when(F.col("l_linenumber") == 5, "")
         .when(F.col("l_linenumber") == 7, F.concat(F.lit(" "), name, F.lit(" ")))
         .otherwise(name)
@@ -68,17 +85,18 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     for remainder, value in enumerate(INTERVENTION_TYPES):
         kind = kind.when(_every(F.col("p_size"), 4, remainder), value)
     intervention = F.when(
-        F.col("p_partkey").isNotNull(),
+        F.col("has_part"),
         F.struct(
             F.when(F.col("p_size") == 50, " ").otherwise(F.col("p_name")).alias("name"),
             kind.alias("type"),
         ),
     )
-    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey, "left")
+    parts = part.withColumnRenamed("p_partkey", "l_partkey").withColumn("has_part", F.lit(True))
+    lines = lookup(lineitem, parts, "l_partkey")
     return lines.groupBy("l_orderkey").agg(
         F.max(F.col("l_shipdate").cast("date")).alias("last_ship"),
-        F.sort_array(F.collect_set("l_linenumber")).alias("outcomes"),
-        F.sort_array(F.collect_set(F.pmod(F.col("l_suppkey"), F.lit(SITES)))).alias("sites"),
+        F.bit_or(_slot_bit("l_linenumber", OUTCOMES)).alias("outcomes"),
+        F.bit_or(_slot_bit("l_suppkey", SITES)).alias("sites"),
         F.sort_array(F.collect_set(condition)).alias("conditions"),
         F.sort_array(F.collect_set(intervention)).alias("interventions"),
     )
@@ -94,9 +112,8 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
     )
-    frame = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").join(
-        customer, orders.o_custkey == customer.c_custkey, "left"
-    )
+    named = lookup(orders, customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    frame = named.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
     key = F.col("o_orderkey")
     # Sponsors start between 1990 and 2010; a fifth of a sponsor's studies come ten years later.
@@ -165,17 +182,12 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .alias("class"),
             ).alias("leadSponsor")
         ).alias("sponsorCollaboratorsModule"),
-        F.struct(
-            F.transform(
-                "outcomes", lambda n: F.struct(F.concat(F.lit("Outcome "), n.cast("string")).alias("measure"))
-            ).alias("primaryOutcomes")
-        ).alias("outcomesModule"),
+        F.struct(_slots("outcomes", OUTCOMES, "Outcome ", "measure").alias("primaryOutcomes")).alias("outcomesModule"),
         F.struct(
             F.when(
                 ~_every(key, 10),
-                F.transform(
-                    F.coalesce("sites", F.array().cast("array<bigint>")),
-                    lambda n: F.struct(F.concat(F.lit("Site "), n.cast("string")).alias("facility")),
+                F.coalesce(
+                    _slots("sites", SITES, "Site ", "facility"), F.array().cast("array<struct<facility:string>>")
                 ),
             ).alias("locations")
         ).alias("contactsLocationsModule"),
@@ -194,8 +206,9 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     ship = F.col("l_shipdate").cast("date")
-    events = lineitem.select(
+    events = lookup(lineitem, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey").select(
         "l_suppkey",
+        "s_name",
         "l_partkey",
         ship.alias("ship"),
         F.when(F.col("l_linenumber") == 1, "ORIG").otherwise("SUPPL").alias("kind"),
@@ -220,11 +233,11 @@ def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFram
         .otherwise(_coded(F.col("l_returnflag"), REVIEW_TRACK))
         .alias("review_priority"),
     )
-    pairs = events.groupBy("l_suppkey", "l_partkey").agg(
+    pairs = events.groupBy("l_suppkey", "l_partkey", "s_name").agg(
         F.sort_array(F.collect_list(submission)).alias("submissions"), F.max("ship").alias("last_ship")
     )
     part_key = F.col("l_partkey")
-    return pairs.join(supplier, pairs.l_suppkey == supplier.s_suppkey, "left").select(
+    return pairs.select(
         F.concat_ws("-", "l_suppkey", "l_partkey").alias("application_number"),
         F.when(_every(part_key, 37), None)
         .when(_every(part_key, 41), "")

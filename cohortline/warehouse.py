@@ -50,7 +50,7 @@ MODELS = {
     "fct_approvals": Model("marts", marts.fct_approvals),
     "application_status": Model("shared", metrics.application_status),
     "fda_sponsors": Model("shared", metrics.fda_sponsors),
-    "trial_funnel": Model("shared", metrics.trial_funnel, written=False),
+    "trial_funnel": Model("shared", metrics.trial_funnel),
     "condition_funnel": Model("shared", metrics.condition_funnel),
     "duration_histogram": Model("shared", metrics.duration_histogram),
     "sponsor_activity": Model("shared", metrics.sponsor_activity),
