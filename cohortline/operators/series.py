@@ -21,9 +21,9 @@ def add_launch_value(frame: DataFrame, name: str, value: str, partition: str, or
     return frame.withColumn(name, F.first(value).over(window))
 
 
-def add_share(frame: DataFrame, name: str, value: str, partition: str) -> DataFrame:
+def add_share(frame: DataFrame, name: str, value: str, *partition: str) -> DataFrame:
     """Value over the sum of its partition."""
-    return frame.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(partition)))
+    return frame.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(*partition)))
 
 
 def split_at(frame: DataFrame, year: str, cutoff: int) -> DataFrame:

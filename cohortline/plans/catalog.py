@@ -39,7 +39,7 @@ def _queries() -> dict[str, Query]:
     for name, model in MODELS.items():
         if model.layer in LAYERS:
             found[name] = partial(Warehouse.plan, name=name)
-    helpers = {"run_query", "approvals_per_year", "trust_lights"}
+    helpers = {"run_query", "approvals_per_year", "trials_per_phase_year", "trust_lights"}
     for module, prefix in ((serving, ""), (dashboards, ""), (exports, "export_"), (insights, "")):
         for name, build in _public(module, prefix).items():
             if name not in helpers:

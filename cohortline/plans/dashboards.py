@@ -23,13 +23,14 @@ TOP_MARK = "🏆"
 
 
 def approvals_yearly_total(application_status: DataFrame) -> DataFrame:
-    by_year = serving.approvals_by_sponsor_class_year(application_status)
+    by_year = serving.approvals_per_year(application_status, "sponsor_name", "UNKNOWN")
     return by_year.groupBy("approval_year").agg(F.sum("approval_count").alias("approval_count"))
 
 
 def approvals_top10_series(application_status: DataFrame, members: int = 10) -> DataFrame:
-    by_year = serving.approvals_by_sponsor_class_year(application_status)
-    return rows_of_top_members(by_year, "sponsor_name", "approval_count", members)
+    by_year = serving.approvals_per_year(application_status, "sponsor_name", "UNKNOWN")
+    leaders = rows_of_top_members(by_year, "sponsor_name", "approval_count", members)
+    return leaders.orderBy("approval_year", "sponsor_name")
 
 
 def funnel_over_100_counts(condition_funnel: DataFrame, min_phase2_trials: int = FUNNEL_MIN_PHASE2) -> DataFrame:
@@ -113,10 +114,12 @@ def phase_share_by_year(
     fct_trials: DataFrame, window: tuple[int, int] = YEAR_WINDOW, as_share: bool = True
 ) -> DataFrame:
     """Phase mix per year; the share is taken within the chosen years."""
-    counts = serving.phase_distribution_by_year(fct_trials).where(F.col("start_year").between(*window))
+    counts = serving.trials_per_phase_year(fct_trials).where(F.col("start_year").between(*window))
     if as_share:
-        return add_share(counts, "value", "trial_count", "start_year")
-    return counts.withColumn("value", F.col("trial_count").cast("double"))
+        valued = add_share(counts, "value", "trial_count", "start_year")
+    else:
+        valued = counts.withColumn("value", F.col("trial_count").cast("double"))
+    return valued.orderBy("start_year", "phase")
 
 
 def trust_lights(scorecard: DataFrame) -> DataFrame:

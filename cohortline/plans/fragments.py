@@ -84,7 +84,7 @@ def source_freshness(w: Warehouse) -> DataFrame:
 def audit_exclusions(w: Warehouse) -> DataFrame:
     log = w.workspace.fresh("audit")
     append_audit(staging.excluded_applications(w.applications_parsed), log)
-    return read_audit(w.spark, log).drop("logged_at")
+    return read_audit(w.spark, log).drop("log_id", "logged_at")
 
 
 def sink_view(w: Warehouse) -> DataFrame:
@@ -422,7 +422,7 @@ def topk_limit(w: Warehouse) -> DataFrame:
 
 
 def topk_members(w: Warehouse) -> DataFrame:
-    series = serving.approvals_by_sponsor_class_year(w.application_status)
+    series = serving.approvals_per_year(w.application_status, "sponsor_name", "UNKNOWN")
     return op.rows_of_top_members(series, "sponsor_name", "approval_count", 3)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import ratio, row_count
-from cohortline.operators import split_at, top_k, with_summary
+from cohortline.operators import add_share, split_at, top_k, with_summary
 from cohortline.plans.dashboards import CENSOR_CUTOFF
 
 
@@ -25,10 +25,12 @@ def insight_phase2_band(condition_funnel: DataFrame, min_phase2_trials: int = 10
         F.min(place)["name"].alias("highest_condition"),
         F.max(place)["name"].alias("lowest_condition"),
     )
-    best = top_k(
-        shown.where(in_band), k, F.col("phase2_to_phase3_rate").desc(), F.col("condition_name").asc_nulls_first()
+    return top_k(
+        with_summary(shown.where(in_band), summary),
+        k,
+        F.col("phase2_to_phase3_rate").desc(),
+        F.col("condition_name").asc_nulls_first(),
     )
-    return with_summary(best, summary)
 
 
 def insight_approval_noise(condition_funnel: DataFrame, min_phase3_trials: int = 5, k: int = 15) -> DataFrame:
@@ -39,21 +41,19 @@ def insight_approval_noise(condition_funnel: DataFrame, min_phase3_trials: int =
         F.count_if(named & (F.col("phase3_to_approval_rate") > 1)).alias("over_count"),
         F.count_if(named).alias("total_count"),
     )
-    best = top_k(
-        shown.select("condition_name", "condition_phase3_trials", "phase3_to_approval_rate"),
+    rates = shown.select("condition_name", "condition_phase3_trials", "phase3_to_approval_rate")
+    return top_k(
+        with_summary(rates, summary),
         k,
         F.col("phase3_to_approval_rate").desc(),
         F.col("condition_name").asc_nulls_first(),
     )
-    return with_summary(best, summary)
 
 
 def insight_fda_coverage(metric_phase_transition: DataFrame) -> DataFrame:
+    """Two rows; the window over them holds no more."""
     counts = metric_phase_transition.groupBy("matched_to_fda").agg(row_count().alias("trial_count"))
-    total = counts.agg(F.sum("trial_count").alias("_total"))
-    return with_summary(counts, total).select(
-        "matched_to_fda", "trial_count", ratio(F.col("trial_count"), F.col("_total"), None).alias("share")
-    )
+    return add_share(counts, "share", "trial_count")
 
 
 def _value_at(frame: DataFrame, key: str, at: dict[int, str], value: str) -> DataFrame:

@@ -146,7 +146,7 @@ def why_stopped_coverage(fct_trials: DataFrame) -> DataFrame:
     )
 
 
-def phase_distribution_by_year(fct_trials: DataFrame) -> DataFrame:
+def trials_per_phase_year(fct_trials: DataFrame) -> DataFrame:
     return (
         fct_trials.where(F.col("start_date").isNotNull())
         .groupBy(
@@ -154,10 +154,13 @@ def phase_distribution_by_year(fct_trials: DataFrame) -> DataFrame:
             fill_missing(F.col("phase"), "NOT REPORTED").alias("phase"),
         )
         .agg(row_count().alias("trial_count"))
-        .orderBy("start_year", "phase")
     )
 
 
+def phase_distribution_by_year(fct_trials: DataFrame) -> DataFrame:
+    return trials_per_phase_year(fct_trials).orderBy("start_year", "phase")
+
+
 def trust_scorecard(condition_funnel: DataFrame, dim_condition: DataFrame, fct_trials: DataFrame) -> DataFrame:
     """Known limits of the data as one row: four rates and the grouping flag."""
     flags = phase_funnel_audit_metrics(condition_funnel).select(

@@ -25,8 +25,10 @@ def publish_tables(w: Warehouse, layer: str) -> None:
 
 
 def append_audit(exclusions: DataFrame, log: str) -> None:
-    """One more entry of history per run; earlier entries stay."""
-    exclusions.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(log)
+    """One more entry of history per run; earlier entries stay. Ids grow with time."""
+    now = F.current_timestamp()
+    entry = exclusions.select(F.unix_micros(now).alias("log_id"), "*", now.alias("logged_at"))
+    entry.write.mode("append").parquet(log)
 
 
 def read_audit(spark: SparkSession, log: str) -> DataFrame:
