@@ -34,7 +34,7 @@ def application_status(applications_parsed: DataFrame) -> DataFrame:
     where all events of an application already are.
     """
     approved = F.filter("submissions", lambda s: s["submission_status"] == "AP")
-    return applications_parsed.where(F.size("submissions") > 0).select(
+    return applications_parsed.where(F.array_size("submissions") > 0).select(
         "application_number",
         "sponsor_name",
         F.array_max(F.transform("submissions", lambda s: s["submission_status"] == "AP")).alias("is_approved"),
@@ -66,7 +66,7 @@ def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFram
     trials = studies_parsed.select(
         "nct_id",
         F.array_min(keyed).alias("first"),
-        F.coalesce(F.size("conditions") > 1, F.lit(False)).alias("multi_condition_flag"),
+        F.coalesce(F.array_size("conditions") > 1, F.lit(False)).alias("multi_condition_flag"),
         "phase",
         "sponsor_name",
     )

@@ -68,7 +68,7 @@ def stg_approvals(applications_parsed: DataFrame) -> DataFrame:
 
 def excluded_applications(applications_parsed: DataFrame) -> DataFrame:
     """Audit row: how many applications have no submission to put in staging."""
-    empty = F.coalesce(F.size("submissions"), F.lit(0)) == 0
+    empty = F.coalesce(F.array_size("submissions"), F.lit(0)) == 0
     return applications_parsed.where(empty).agg(row_count().alias("excluded_count")).select(
         F.lit("stg_approvals").alias("model_name"),
         F.lit("application has no submissions array (empty or null)").alias("exclusion_reason"),

@@ -30,7 +30,12 @@ def refresh(raw_studies: DataFrame, raw_applications: DataFrame, folder: str, st
     Each layer's rules are checked before the next layer is built, so that nothing
     is published from tables that break one. ``strict=False`` skips the rules.
     """
-    w = Warehouse(raw_studies, raw_applications, Workspace(raw_studies.sparkSession, folder))
+    workspace = Workspace(raw_studies.sparkSession, folder)
+    w = Warehouse(
+        workspace.write(raw_studies, "raw", "studies"),
+        workspace.write(raw_applications, "raw", "applications"),
+        workspace,
+    )
     quality.require_nonempty(w.table)
     if strict:
         check_models(w, list(RAW))

@@ -46,8 +46,8 @@ def parse_studies(raw_studies: DataFrame) -> DataFrame:
         blank_to_null(at("sponsorCollaboratorsModule.leadSponsor.class")).alias("sponsor_class"),
         blank_to_null(at("statusModule.whyStopped")).alias("why_stopped"),
         F.col("doc.hasResults").cast("boolean").alias("has_results"),
-        F.size(at("outcomesModule.primaryOutcomes")).alias("num_primary_outcomes"),
-        F.size(at("contactsLocationsModule.locations")).alias("num_sites"),
+        F.array_size(at("outcomesModule.primaryOutcomes")).alias("num_primary_outcomes"),
+        F.array_size(at("contactsLocationsModule.locations")).alias("num_sites"),
         F.col("fetched_at").alias("source_fetched_at"),
         _distinct_present(conditions, lambda name: name.isNotNull()).alias("conditions"),
         _distinct_present(interventions, lambda item: item["name"].isNotNull()).alias("interventions"),

@@ -23,10 +23,11 @@ TYPE_NAMES = {
 }
 
 
-def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connect(sf_dir: str, inside: str = "") -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for name in BASE_TABLES:
-        db.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+        path = f"{sf_dir}/{name}.parquet/{inside}".rstrip("/")
+        db.execute(f"create view {name} as select * from '{path}'")
     return db
 
 

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import datetime
+import json
+
 import pytest
 from conftest import application, rows, study, submission
 from pyspark.sql import functions as F
 
+from cohortline.__main__ import main
 from cohortline.plans import quality
 from cohortline.refresh import refresh
+from cohortline.streaming.ingest import land
 
 
 def tables_of(**frames):
@@ -94,6 +99,24 @@ def test_refresh_publishes_and_exports(spark, make_warehouse, tmp_path):
     assert len(list((tmp_path / "out" / "exports").iterdir())) == 8
 
 
+def test_jobs_from_landed_pages_to_tables(spark, tmp_path):
+    """Both sources landed, ingested and built by way of the command line."""
+
+    def documents(rows_of_source):
+        return [json.loads(payload) for _, payload in rows_of_source]
+
+    listed = {"studies": {"studies": documents(GOOD_STUDIES)}, "applications": {"results": documents(APPLICATIONS)}}
+    for source, body in listed.items():
+        at = {name: str(tmp_path / source / name) for name in ("landing", "log", "checkpoint")}
+        page = [(0, datetime.datetime(2024, 1, 1), json.dumps(body))]
+        land(spark.createDataFrame(page, "page bigint, fetched_at timestamp, body string"), at["landing"])
+        main(["ingest", "--source", source, *(part for name, path in at.items() for part in (f"--{name}", path))])
+    logs = [f"--{source}-log={tmp_path / source / 'log'}" for source in listed]
+    main(["refresh", *logs, f"--target={tmp_path / 'target'}"])
+    trials = spark.read.parquet(str(tmp_path / "target" / "marts" / "fct_trials"))
+    assert rows(trials, "nct_id") == [("N0",), ("N1",), ("N2",)]
+
+
 def test_refresh_stops_at_the_first_broken_layer(make_warehouse, tmp_path):
     raw = make_warehouse([*GOOD_STUDIES, study("N9", status="MYSTERY", results=True)], APPLICATIONS)
     with pytest.raises(quality.QualityError, match="stg_trials.overall_status"):
