@@ -30,12 +30,8 @@ class Model:
 
 
 MODELS = {
-    "studies_parsed": Model(
-        "parsed", lambda raw_studies: documents.parse_studies(raw_studies)
-    ),
-    "applications_parsed": Model(
-        "parsed", lambda raw_applications: documents.parse_applications(raw_applications)
-    ),
+    "studies_parsed": Model("parsed", documents.parse_studies),
+    "applications_parsed": Model("parsed", documents.parse_applications),
     "stg_trials": Model("staging", staging.stg_trials, written=False),
     "stg_sponsors": Model("staging", staging.stg_sponsors, written=False),
     "stg_trial_conditions": Model("staging", staging.stg_trial_conditions, written=False),

@@ -32,8 +32,8 @@ def connect(sf_dir: str, inside: str = "") -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return value
