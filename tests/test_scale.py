@@ -65,6 +65,11 @@ def test_row_local_models_do_not_shuffle(warehouse, name):
     assert "Exchange" not in plan(warehouse.plan(name))
 
 
+@pytest.mark.parametrize("name", ["studies_parsed", "applications_parsed"])
+def test_a_document_is_parsed_once(warehouse, name):
+    assert plan(warehouse.plan(name)).count("from_json(") == 1
+
+
 def test_no_query_has_a_cross_join_or_python_in_its_plan(spark):
     for name, query in entry.queries().items():
         text = plan(query(spark, SF_DIR))
