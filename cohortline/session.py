@@ -6,6 +6,10 @@ are the settings used by the tests, the bench and local runs.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -25,3 +29,20 @@ def build_session(app_name: str = "cohortline", master: str | None = None, **ext
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package as a Python file, once per application.
+
+    Needed where functions run in tasks and the package is not installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="cohortline-"), "cohortline")
+    context.addPyFile(shutil.make_archive(name, "zip", root, "cohortline"))
+    _shipped.add(context.applicationId)
