@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortline.llm import decontaminate, quality_rules
+from cohortline.llm import decontaminate, language_id, near_dedup, quality_classifier, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,12 +21,39 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the declared language is ``lang``, the host is the source."""
+    documents = table(spark, sf_dir, "documents")
+    return language_id.identify(documents, declared=F.col("lang"), host=F.col("source"))
+
+
+def llm_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: the markup's language, the address's suffix and host."""
+    pages = language_id.page_evidence(table(spark, sf_dir, "pages"))
+    return language_id.identify(
+        pages, "page_id", declared=F.col("declared"), host=F.col("host"), suffix=F.col("suffix")
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_classifier.score(documents, quality_classifier.train(documents, table(spark, sf_dir, "labels")))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_language_id": op3_language_id,
+    "llm_page_language": llm_page_language,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_near_dedup": op6_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
