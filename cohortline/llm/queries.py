@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup
+from cohortline.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_recurring(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_near_dedup": op6_near_dedup,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL}
