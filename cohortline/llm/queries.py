@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, warc
+from cohortline.llm import decontaminate, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -82,5 +86,6 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE_SQL: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL}
