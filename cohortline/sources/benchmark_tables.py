@@ -4,10 +4,11 @@ Orders become study documents and supplier-part pairs become application
 documents, so that every model can be run and checked at any scale. Documents
 are serialized to JSON and parsed back like real ones.
 
-Nothing here collects a list that grows with the number of input rows of one
-key: nested arrays are sets over fixed domains (brand and type names, part
-names, numbered slots, days of the calendar), and sets are built map-side first,
-so one key holding a third of all line items costs no more than others.
+Every line item is an outcome of its study and a submission of its application. A key of
+up to ``LINES`` line items is one document. A larger one is dealt over several by a hash
+of its line items, each of about ``LINES``, so one key holding a third of all line items
+makes many documents and no large one; a site is listed in one of its study's documents.
+Only line items that agree in all hashed columns must fall together.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortline.operators import lookup
 
-SITES = 25
-OUTCOMES = 32
+LINES = 1000
 PAGE_SIZE = 1000
 
 # How the benchmark codes map onto registry codes.
@@ -58,22 +58,28 @@ def study_key(key: Column) -> Column:
     return F.concat(F.lit("NCT"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
-def _slot_bit(column: str, slots: int) -> Column:
-    """The slot of a number as one bit, so that a set of slots is one integer."""
-    return F.expr(f"shiftleft(1L, cast(pmod({column}, {slots}) as int))")
+def _with_documents(lineitem: DataFrame, *keys: str) -> DataFrame:
+    """Line items with the number of documents their key is dealt over.
 
+    Keys above LINES are one in LINES line items at most, and usually none.
+    """
+    counts = lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"))
+    large = counts.where(F.col("_lines") > LINES).select(*keys, F.ceil(F.col("_lines") / LINES).alias("_documents"))
+    joined = lineitem.join(large, list(keys), "left")
+    return joined.withColumn("_documents", F.coalesce("_documents", F.lit(1)))
 
-def _slots(bits: str, slots: int, label: str, field: str) -> Column:
-    """Objects naming the slots that are set; NULL stays NULL."""
-    taken = F.filter(
-        F.sequence(F.lit(0), F.lit(slots - 1)), lambda n: F.call_function("getbit", F.col(bits), n) == 1
-    )
-    named = F.transform(taken, lambda n: F.struct(F.concat(F.lit(label), n.cast("string")).alias(field)))
-    return F.when(F.col(bits).isNotNull(), named)
+
+def _document(documents: str, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.col(documents))
+
+
+def _numbered(key: Column, document: Column) -> Column:
+    """The key of a document: the key itself for its first, with a suffix for the others."""
+    return F.when(document == 0, key).otherwise(F.concat(key, F.lit("-"), document.cast("string")))
 
 
 def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Per order: last ship date and the sets that fill the nested arrays."""
+    """Per study document: last ship date of the order and what fills the nested arrays."""
     name = F.concat_ws(" ", "p_brand", "p_type")
     condition = (
         F.when(F.col("has_part").isNull(), None)
@@ -92,18 +98,41 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         ),
     )
     parts = part.withColumnRenamed("p_partkey", "l_partkey").withColumn("has_part", F.lit(True))
-    lines = lookup(lineitem, parts, "l_partkey")
-    return lines.groupBy("l_orderkey").agg(
-        F.max(F.col("l_shipdate").cast("date")).alias("last_ship"),
-        F.bit_or(_slot_bit("l_linenumber", OUTCOMES)).alias("outcomes"),
-        F.bit_or(_slot_bit("l_suppkey", SITES)).alias("sites"),
-        F.sort_array(F.collect_set(condition)).alias("conditions"),
-        F.sort_array(F.collect_set(intervention)).alias("interventions"),
+    lines = _with_documents(lookup(lineitem, parts, "l_partkey"), "l_orderkey").select(
+        "l_orderkey",
+        F.col("l_shipdate").cast("date").alias("ship"),
+        F.col("l_suppkey").alias("site"),
+        F.struct(F.concat(F.lit("Outcome "), F.col("l_linenumber").cast("string")).alias("measure")).alias("outcome"),
+        condition.alias("condition"),
+        intervention.alias("intervention"),
+        _document("_documents", "l_suppkey", "l_partkey", "l_linenumber", "l_shipdate").alias("document"),
+        _document("_documents", "l_suppkey").alias("home"),
+    )
+    # Where a line item and its site belong to different documents, each gets its part.
+    own = F.struct(F.col("document"), F.when(F.col("home") == F.col("document"), F.col("site")).alias("site"), F.lit(True).alias("line"))
+    away = F.struct(F.col("home").alias("document"), F.col("site"), F.lit(False).alias("line"))
+    dealt = lines.withColumn(
+        "to", F.explode(F.when(F.col("home") == F.col("document"), F.array(own)).otherwise(F.array(own, away)))
+    )
+
+    def of_line(name: str) -> Column:
+        return F.when(F.col("to.line"), F.col(name))
+
+    facility = F.when(
+        F.col("to.site").isNotNull(),
+        F.struct(F.concat(F.lit("Site "), F.col("to.site").cast("string")).alias("facility")),
+    )
+    return dealt.groupBy("l_orderkey", "to.document").agg(
+        F.max("ship").alias("last_ship"),
+        F.sort_array(F.collect_list(of_line("outcome"))).alias("outcomes"),
+        F.sort_array(F.collect_set(facility)).alias("sites"),
+        F.sort_array(F.collect_set(of_line("condition"))).alias("conditions"),
+        F.sort_array(F.collect_set(of_line("intervention"))).alias("interventions"),
     )
 
 
 def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(nct_id, payload, fetched_at), one row per order."""
+    """(nct_id, payload, fetched_at), one row per order, or several for an order of many lines."""
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     lines = _study_lines(
@@ -116,6 +145,7 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = named.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
     key = F.col("o_orderkey")
+    nct_id = _numbered(study_key(key), F.coalesce("document", F.lit(0)))
     # Sponsors start between 1990 and 2010; a fifth of a sponsor's studies come ten years later.
     later = F.when(_every(key, 5), 120).otherwise(0)
     months = (F.pmod(F.col("o_custkey"), F.lit(5)) * 60 - 60 + later).cast("int")
@@ -136,7 +166,7 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     section = F.struct(
         F.struct(
-            study_key(key).alias("nctId"),
+            nct_id.alias("nctId"),
             F.when(_every(key, 41), "")
             .otherwise(F.concat(F.lit("Study "), key.cast("string"), F.lit(" "), F.col("o_orderpriority")))
             .alias("briefTitle"),
@@ -182,13 +212,10 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .alias("class"),
             ).alias("leadSponsor")
         ).alias("sponsorCollaboratorsModule"),
-        F.struct(_slots("outcomes", OUTCOMES, "Outcome ", "measure").alias("primaryOutcomes")).alias("outcomesModule"),
+        F.struct(F.col("outcomes").alias("primaryOutcomes")).alias("outcomesModule"),
         F.struct(
             F.when(
-                ~_every(key, 10),
-                F.coalesce(
-                    _slots("sites", SITES, "Site ", "facility"), F.array().cast("array<struct<facility:string>>")
-                ),
+                ~_every(key, 10), F.coalesce("sites", F.array().cast("array<struct<facility:string>>"))
             ).alias("locations")
         ).alias("contactsLocationsModule"),
         F.struct(F.col("conditions")).alias("conditionsModule"),
@@ -198,7 +225,7 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(section.alias("protocolSection"), (F.col("o_totalprice") > 200000).alias("hasResults"))
     )
     return frame.select(
-        study_key(key).alias("nct_id"),
+        nct_id.alias("nct_id"),
         payload.alias("payload"),
         F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
     )
@@ -206,21 +233,22 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     ship = F.col("l_shipdate").cast("date")
-    events = lookup(lineitem, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey").select(
+    named = lookup(lineitem, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+    events = _with_documents(named, "l_suppkey", "l_partkey").select(
         "l_suppkey",
         "s_name",
         "l_partkey",
         ship.alias("ship"),
         F.when(F.col("l_linenumber") == 1, "ORIG").otherwise("SUPPL").alias("kind"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("number"),
         "l_linestatus",
         "l_returnflag",
-    ).distinct()
+        _document("_documents", "l_orderkey", "l_linenumber", "l_shipdate").alias("document"),
+    )
     day = F.dayofmonth("ship")
     submission = F.struct(
         F.col("kind").alias("submission_type"),
-        F.concat(F.date_format("ship", "yyyyMMdd"), F.lit("-"), "l_linestatus", "l_returnflag").alias(
-            "submission_number"
-        ),
+        F.col("number").alias("submission_number"),
         F.when(day == 13, None)
         .when(day == 14, "")
         .otherwise(_coded(F.col("l_linestatus"), SUBMISSION_STATUS))
@@ -233,12 +261,12 @@ def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFram
         .otherwise(_coded(F.col("l_returnflag"), REVIEW_TRACK))
         .alias("review_priority"),
     )
-    pairs = events.groupBy("l_suppkey", "l_partkey", "s_name").agg(
+    pairs = events.groupBy("l_suppkey", "l_partkey", "s_name", "document").agg(
         F.sort_array(F.collect_list(submission)).alias("submissions"), F.max("ship").alias("last_ship")
     )
     part_key = F.col("l_partkey")
     return pairs.select(
-        F.concat_ws("-", "l_suppkey", "l_partkey").alias("application_number"),
+        _numbered(F.concat_ws("-", "l_suppkey", "l_partkey"), F.col("document")).alias("application_number"),
         F.when(_every(part_key, 37), None)
         .when(_every(part_key, 41), "")
         .otherwise(F.concat(F.lit(" "), F.replace("s_name", F.lit("Supplier"), F.lit("CUSTOMER")), F.lit(" ")))
@@ -260,10 +288,11 @@ def _empty_applications(part: DataFrame, submissions_type: str) -> DataFrame:
 
 
 def raw_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(application_number, payload, fetched_at), one row per supplier-part pair."""
+    """(application_number, payload, fetched_at), one row per supplier-part pair, or several
+    for a pair of many line items."""
     documents = _application_documents(
         read_table(spark, sf_dir, "lineitem").select(
-            "l_suppkey", "l_partkey", "l_linenumber", "l_shipdate", "l_linestatus", "l_returnflag"
+            "l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_linestatus", "l_returnflag"
         ),
         read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
     )

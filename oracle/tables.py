@@ -29,8 +29,8 @@ TABLES = {
           substr(o_orderpriority, 1, 1) as digit
         from orders o
         left join (
-          select l_orderkey, max(l_shipdate) as last_ship, count(distinct l_linenumber % 32) as outcomes,
-            count(distinct l_suppkey % 25) as sites
+          select l_orderkey, max(l_shipdate) as last_ship, count(*) as outcomes,
+            count(distinct l_suppkey) as sites
           from lineitem group by all
         ) l on l.l_orderkey = o.o_orderkey
         left join customer c on c.c_custkey = o.o_custkey""",
@@ -81,11 +81,10 @@ TABLES = {
     "application_rows": """
         select l_suppkey || '-' || l_partkey as application_number, l_partkey, l_suppkey,
           cast(l_shipdate as date) as ship, if(l_linenumber = 1, 'ORIG', 'SUPPL') as submission_type,
-          l_linestatus, l_returnflag, strftime(l_shipdate, '%Y%m%d') || '-' || l_linestatus || l_returnflag
-            as submission_number
-        from lineitem group by all""",
+          l_linestatus, l_returnflag, l_orderkey || '-' || l_linenumber as submission_number
+        from lineitem""",
     "raw_applications": """
-        select application_number, cast(max(ship) as timestamp) as fetched_at from application_rows group by all
+        select application_number, cast(max(ship) as timestamp) as fetched_at from application_rows group by 1
         union all
         select 'X-' || p_partkey, timestamp '1995-01-01' from part where p_partkey % 50 = 0""",
     "submissions": f"""
