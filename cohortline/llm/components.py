@@ -43,6 +43,6 @@ def components(links: DataFrame, store: Store) -> DataFrame:
         if now == mark:
             break
         mark = now
-        current = store.write(_small_star(_large_star(current).union(current).distinct()).distinct(), "links")
+        current = store.write(_small_star(_large_star(current)).distinct(), "links")
     ends = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ends.union(current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -148,6 +148,7 @@ def identify(
         *(F.coalesce(F.concat(F.lit("="), part), F.lit("")).alias(name) for name, part in (("host", host), ("suffix", suffix))),
         _text_evidence(logs)(F.col(text)).alias("found"),
     )
+    told_by_text = F.array_max(F.transform("logs", lambda x, k: F.struct(x.alias("log"), (-k).alias("place"))))
     evidence = store.write(
         read.select(
             "key",
@@ -159,7 +160,7 @@ def identify(
             F.coalesce(F.array_position(names, F.col("declared")), F.lit(0)).cast("int").alias("said"),
         )
         # 1..n for what the text tells best, null where it tells nothing.
-        .withColumn("told", F.when(F.col("letters") > 0, F.array_position("logs", F.array_max("logs")).cast("int"))),
+        .withColumn("told", F.when(F.col("letters") > 0, 1 - told_by_text["place"])),
         "evidence",
     )
     told = evidence.where("told is not null")
@@ -199,15 +200,19 @@ def identify(
             F.transform("prior", lambda p: F.ln(p)),
         ),
     )
-    scored = joined.withColumn("score", score).withColumn("best", F.array_max("score"))
+    # Ties go to the language listed first.
+    first = F.array_max(F.transform("score", lambda x, k: F.struct(x.alias("score"), (-k).alias("place"))))
+    scored = joined.withColumn("score", score).withColumn("first", first).select(
+        "*", F.col("first.score").alias("best"), (-F.col("first.place")).alias("place")
+    )
     weight = F.transform("score", lambda x: F.exp(x - F.col("best")))
     probability = 1 / _total(weight)
     known = F.col("letters") > 0
     return scored.select(
         F.col("key").alias(key),
-        F.when(known, names[F.array_position("score", F.col("best")).cast("int") - 1]).otherwise("und").alias("language"),
+        F.when(known, F.get(names, F.col("place"))).otherwise("und").alias("language"),
         F.when(known, probability).otherwise(0.0).alias("probability"),
-        F.coalesce(names[F.col("told") - 1], F.lit("und")).alias("text_language"),
+        F.coalesce(F.get(names, F.col("told") - 1), F.lit("und")).alias("text_language"),
         "declared",
         "letters",
         (known & (probability >= accept)).alias("kept"),

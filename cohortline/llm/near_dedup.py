@@ -5,21 +5,24 @@ A document is its set of distinct shingles of ``width`` words. Its MinHash signa
 
 1. Documents with the same set are one class, represented by the smallest id.
 2. Representatives are posted under each of their first ``POSTED`` (coordinate, value)
-   pairs. Two documents that agree in ``MATCHES`` of them or more must share one of the
-   rarest ``POSTED - MATCHES + 1`` pairs of each (prefix merging, rarest first), so only
+   pairs. Two documents that agree in ``m`` of them or more must share one of the rarest
+   ``POSTED - m + 1`` pairs of each (prefix merging, rarest first), so only
    those postings, and only pairs held twice, are merged. Common pairs come last and are
    never merged; agreement in them is counted by looking into the signatures instead
    (skip merging).
-3. Merging postings gives groups of documents that may be linked. Inside a group (a large
-   one in blocks) collisions over all coordinates are counted as arrays; pairs with
-   ``SURE`` or more go on. First, every document meets the best of its more central
-   neighbours and the group's centre; the confirmed links give components. Then all
-   remaining pairs of different components go on. Nothing inside a component is compared
-   again, so a large group of copies costs a few links a document, not all pairs.
-4. A link counts if the full sets confirm it; components of links are the answer.
-
-A pair at the similarity bound is missed with a probability below 1e-4 (binomial tails of
-MATCHES of POSTED and SURE of COORDINATES at 0.85), a closer pair with less.
+3. Merging postings gives groups of documents that may be linked. Groups are dealt in
+   blocks, a large one in many. In a block, collisions over all coordinates are counted
+   as arrays, and pairs with enough of them are confirmed on the full sets, most
+   collisions first; a pair that confirmed links already connect is passed over, so a
+   block gives one link fewer than it has documents at most. Every block of a group also
+   holds the same few pivots, which ties the blocks of copies together. Blocks of groups
+   that are not one component by then meet in pairs, passing over what is connected.
+4. Components of the confirmed links are the answer. They are those of all links: what
+   was passed over was connected.
+
+The numbers of agreements asked for in 2 and 3 are set from exact binomial tails, so that
+a pair at the similarity bound is missed in each with a probability below ``MISSED``, and
+a closer pair with less.
 
 Defined results: a null or empty text, or one without words, has an empty set and is
 linked with nothing; a text of fewer words than ``width`` is one shingle; rows with one
@@ -30,6 +33,7 @@ linked with nothing, its component is null and it is kept; extra columns are ign
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +49,28 @@ WIDTH = 5
 PERCENT = 85
 COORDINATES = 128
 POSTED = 40
-MATCHES = 23
-SURE = 92
-# Documents compared as one array; a larger group is cut into blocks that meet in pairs.
+# Probability, for each count, that a pair at the similarity bound has too few collisions.
+MISSED = 1e-5
+# Documents, and shingles in all, of a block; a larger group is cut into blocks.
 BLOCK = 768
+BLOCK_SHINGLES = 4 << 20
+# Documents, about, that are in every block of a group.
+PIVOTS = 32
+MEMBER = ("own", "id", "n", "label", "large", "signature", "shingles")
+# Documents of a group whose links one task resolves; those of larger groups take distributed rounds.
+RESOLVED_AT_ONCE = 200_000
+LINKS = "group bigint, large boolean, one bigint, two bigint"
+
+
+def least_matches(coordinates: int, percent: int, missed: float = MISSED) -> int:
+    """The largest m with P(X < m) <= missed, X ~ Binomial(coordinates, percent / 100)."""
+    tail, m = 0.0, 0
+    while m < coordinates:
+        tail += comb(coordinates, m) * (percent / 100) ** m * (1 - percent / 100) ** (coordinates - m)
+        if tail > missed:
+            break
+        m += 1
+    return max(1, m)
 
 
 def shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,16 +136,7 @@ def full_sets(width: int):
     return arrow_udf(gather, "binary")
 
 
-def shared_counts(one: pa.Array, two: pa.Array) -> pa.Array:
-    """Sizes of the intersections of sets of 64-bit hashes."""
-    counts = []
-    for a, b in zip(one, two, strict=True):
-        a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-        counts.append(len(np.intersect1d(a, b, assume_unique=True)))
-    return pa.array(counts, pa.int64())
-
-
-def posted_groups(signed: DataFrame, store: Store) -> DataFrame:
+def posted_groups(signed: DataFrame, matches: int, store: Store) -> DataFrame:
     """id, component: groups of representatives whose rarest postings meet."""
     postings = signed.select("id", F.posexplode(F.slice("signature", 1, POSTED)).alias("k", "value")).select(
         "id", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").cast("long")).alias("key")
@@ -134,8 +147,8 @@ def posted_groups(signed: DataFrame, store: Store) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("held", "key"))).alias("entries")
     )
     # The pairs held by one document alone are the rarest; what they leave of the prefix is merged.
-    prefix = shared.where(F.size("entries") >= MATCHES).select(
-        "id", F.explode(F.slice("entries", 1, F.size("entries") - (MATCHES - 1))).alias("entry")
+    prefix = shared.where(F.size("entries") >= matches).select(
+        "id", F.explode(F.slice("entries", 1, F.size("entries") - (matches - 1))).alias("entry")
     )
     prefix = store.write(prefix.select("id", "entry.key"), "prefix")
     firsts = prefix.groupBy("key").agg(F.min("id").alias("least"))
@@ -143,25 +156,39 @@ def posted_groups(signed: DataFrame, store: Store) -> DataFrame:
     return components(links, store)
 
 
-def _blocked(members: DataFrame) -> DataFrame:
-    """Members repeated for each pair of blocks of their group that they belong to.
+def _members(grouped: DataFrame) -> DataFrame:
+    """Members with their group's number of blocks, their own, and whether they are pivots.
 
-    A group of up to BLOCK documents is one block that meets itself. Blocks are dealt by
-    a hash of the id, so no task sees a whole large group.
+    Blocks are dealt by a hash of the id, so no task sees a whole large group.
     """
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    sized = members.join(sizes, "group").withColumn("parts", parts)
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda other: F.struct(F.least("own", other).alias("low"), F.greatest("own", other).alias("high")),
-    )
-    return sized.withColumn("own", own).withColumn("pair", F.explode(pairs)).select(
-        "group", "pair.low", "pair.high", "own", "id", "n", "label", "signature"
+    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingled"))
+    parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingled") / BLOCK_SHINGLES)).cast("int")
+    sized = grouped.join(sizes, "group").withColumn("parts", parts)
+    return sized.select(
+        "group",
+        "parts",
+        F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("own"),
+        ((F.col("parts") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.expr(f"size div {PIVOTS}"))) == 0)).alias("pivot"),
+        "id",
+        "n",
+        "label",
+        (F.col("size") > RESOLVED_AT_ONCE).alias("large"),
+        "signature",
+        "shingles",
     )
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    blocks = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own"))
+    return members.select("group", F.explode(blocks).alias("low"), F.lit(-1).alias("high"), *MEMBER)
+
+
+def _in_pairs_of_blocks(members: DataFrame) -> DataFrame:
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: other != F.col("own"))
+    pairs = F.transform(others, lambda o: F.struct(F.least("own", o).alias("low"), F.greatest("own", o).alias("high")))
+    return members.withColumn("pair", F.explode(pairs)).select("group", "pair.low", "pair.high", *MEMBER)
+
+
 def _collisions(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     counts = np.zeros((len(one), len(two)), np.int16)
     for k in range(COORDINATES):
@@ -169,69 +196,81 @@ def _collisions(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return counts
 
 
-def _matched(table: pa.Table, percent: int):
-    """The two sides of a block pair and which of their pairs may be linked."""
-    # Sorted by id, so that repeated runs give the same pairs.
-    table = table.sort_by("id")
-    side = table["own"].to_numpy()
-    low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    ids, sizes, labels = (table[name].to_numpy() for name in ("id", "n", "label"))
-    signature = np.array(table["signature"].combine_chunks().flatten()).reshape(len(table), COORDINATES)
-    a, b = np.flatnonzero(side == low), np.flatnonzero(side == high)
-    counts = _collisions(signature[a], signature[b])
-    fits = np.minimum(sizes[a][:, None], sizes[b][None]) * 100 >= np.maximum(sizes[a][:, None], sizes[b][None]) * percent
-    fits &= (counts >= SURE) & (ids[a][:, None] != ids[b][None])
-    return ids, labels, a, b, np.where(fits, counts, 0), low == high
-
-
-def _pairs_of(one: np.ndarray, two: np.ndarray) -> pa.Table:
-    pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
-    return pa.table({"one": pa.array(pairs[0], pa.int64()), "two": pa.array(pairs[1], pa.int64())})
-
-
-def _first_pairs(percent: int):
-    def choose(table: pa.Table) -> pa.Table:
-        ids, _, a, b, counts, _ = _matched(table, percent)
-        central = counts.sum(0)
-        centre = int(np.argmax(central)) if len(b) else 0
-        own = counts.sum(1)
-        best = np.argmax(np.where(central[None] > own[:, None], counts, 0), 1) if len(b) else np.zeros(0, int)
-        rows = np.arange(len(a))
-        one = np.concatenate([ids[a[rows]], ids[a[rows]]])
-        target = np.concatenate([best, np.full(len(a), centre)])
-        good = counts[np.concatenate([rows, rows]), target] > 0 if len(b) else np.zeros(0, bool)
-        # A block pair also gives the other side its best partners.
-        back = np.argmax(counts, 0) if len(a) else np.zeros(len(b), int)
-        columns = np.arange(len(b))
-        good_back = counts[back, columns] > 0 if len(a) else np.zeros(len(b), bool)
-        return _pairs_of(
-            np.concatenate([one[good], ids[b[columns[good_back]]]]),
-            np.concatenate([ids[b[target[good]]], ids[a[back[good_back]]]]),
+def _forest(percent: int):
+    """Confirmed links of a block, or between two blocks, that connect what was not yet."""
+    sure = least_matches(COORDINATES, percent)
+
+    def confirm(table: pa.Table) -> pa.Table:
+        # Sorted by id, so that repeated runs give the same links.
+        table = table.sort_by("id")
+        ids, sizes, labels, own = (table[name].to_numpy() for name in ("id", "n", "label", "own"))
+        signature = np.array(table["signature"].combine_chunks().flatten()).reshape(len(table), COORDINATES)
+        crossing = table["high"][0].as_py() >= 0
+        a = np.flatnonzero(own == table["low"][0].as_py()) if crossing else np.arange(len(table))
+        b = np.flatnonzero(own == table["high"][0].as_py()) if crossing else a
+        counts = _collisions(signature[a], signature[b])
+        small, big = np.minimum(sizes[a][:, None], sizes[b]), np.maximum(sizes[a][:, None], sizes[b])
+        fits = (counts >= sure) & (small * 100 >= big * percent) & (labels[a][:, None] != labels[b])
+        row, column = np.nonzero(fits if crossing else np.triu(fits, 1))
+        best = np.argsort(-counts[row, column], kind="stable")
+        sets = {}
+        root = {label: label for label in labels.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def full(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = np.frombuffer(table["shingles"][k].as_py(), np.uint64)
+            return sets[k]
+
+        links = []
+        for i, j in zip(a[row[best]].tolist(), b[column[best]].tolist(), strict=True):
+            one, two = find(int(labels[i])), find(int(labels[j]))
+            if one == two:
+                continue
+            shared = len(np.intersect1d(full(i), full(j), assume_unique=True))
+            if shared * 100 >= (int(sizes[i]) + int(sizes[j]) - shared) * percent:
+                root[max(one, two)] = min(one, two)
+                links.append((int(ids[i]), int(ids[j])))
+        return pa.table(
+            {
+                "group": pa.array([table["group"][0].as_py()] * len(links), pa.int64()),
+                "large": pa.array([table["large"][0].as_py()] * len(links), pa.bool_()),
+                "one": pa.array([i for i, _ in links], pa.int64()),
+                "two": pa.array([j for _, j in links], pa.int64()),
+            }
         )
 
-    return choose
+    return confirm
 
 
-def _other_pairs(percent: int):
-    def choose(table: pa.Table) -> pa.Table:
-        ids, labels, a, b, counts, same = _matched(table, percent)
-        counts = np.where(labels[a][:, None] != labels[b][None], counts, 0)
-        row, column = np.nonzero(np.triu(counts) if same else counts)
-        return _pairs_of(ids[a[row]], ids[b[column]])
+def _resolve(table: pa.Table) -> pa.Table:
+    """id, component of the links of one group."""
+    root: dict[int, int] = {}
 
-    return choose
+    def find(x: int) -> int:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
 
+    for one, two in zip(table["one"].to_pylist(), table["two"].to_pylist(), strict=True):
+        one, two = find(one), find(two)
+        root[max(one, two)] = min(one, two)
+    ids = list(root)
+    return pa.table({"id": pa.array(ids, pa.int64()), "component": pa.array([find(x) for x in ids], pa.int64())})
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    one = sets.select(F.col("id").alias("one"), F.col("n").alias("n1"), F.col("shingles").alias("s1"))
-    two = sets.select(F.col("id").alias("two"), F.col("n").alias("n2"), F.col("shingles").alias("s2"))
-    both = pairs.join(one, "one").join(two, "two")
-    shared = arrow_udf(shared_counts, "bigint")
-    return (
-        both.withColumn("shared", shared("s1", "s2"))
-        .where(F.col("shared") * 100 >= (F.col("n1") + F.col("n2") - F.col("shared")) * percent)
-        .select("one", "two")
-    )
+
+def _components_of(links: DataFrame, store: Store) -> DataFrame:
+    """id, component of confirmed links; links never leave their group."""
+    within = links.where("not large").groupBy("group").applyInArrow(_resolve, "id bigint, component bigint")
+    beyond = links.where("large").select("one", "two")
+    return within if beyond.isEmpty() else within.union(components(beyond, store))
 
 
 def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -248,14 +287,14 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     # One set per id and one id per set; both reductions combine before the shuffle.
     by_id = named.groupBy("doc_id").agg(F.min("same").alias("same"))
     classes = store.write(by_id.groupBy("same").agg(F.min("doc_id").alias("id")), "classes")
-    members = store.write(by_id.join(classes, "same").select("doc_id", "id", "same"), "members")
+    classed = store.write(by_id.join(classes, "same").select("doc_id", "id", "same"), "members")
     representatives = store.write(
         named.join(classes.select(F.col("id").alias("doc_id"), "same"), ["doc_id", "same"])
         .dropDuplicates(["doc_id"])
         .select(F.col("doc_id").alias("id"), "n", "signature"),
         "representatives",
     )
-    groups = store.write(posted_groups(representatives, store).select("id", F.col("component").alias("group")), "groups")
+    groups = store.write(posted_groups(representatives, least_matches(POSTED, percent), store).select("id", F.col("component").alias("group")), "groups")
     grouped = store.write(representatives.join(groups, "id"), "grouped")
 
     gather = full_sets(width)
@@ -268,20 +307,22 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
         "sets",
     )
 
-    def candidates(labels: DataFrame, choose) -> DataFrame:
-        return _blocked(labels).groupBy("group", "low", "high").applyInArrow(choose, "one bigint, two bigint").distinct()
+    def confirmed(dealt: DataFrame) -> DataFrame:
+        found = dealt.groupBy("group", "low", "high").applyInArrow(_forest(percent), LINKS)
+        return store.write(found, "confirmed")
 
-    alone = grouped.withColumn("label", F.col("id"))
-    links = store.write(_confirmed(candidates(alone, _first_pairs(percent)), sets, percent), "confirmed")
-    labels = store.write(components(links, store), "labels")
+    whole = grouped.join(sets.select("id", "shingles"), "id")
+    links = confirmed(_in_blocks(_members(whole.withColumn("label", F.col("id")))))
+    labels = store.write(_components_of(links, store), "labels")
     labelled = grouped.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    # Groups that are one component already have nothing left to compare.
-    open_groups = labelled.groupBy("group").agg((F.min("label") != F.max("label")).alias("open")).where("open")
-    others = candidates(labelled.join(open_groups.select("group"), "group"), _other_pairs(percent))
-    more = store.write(_confirmed(others, sets, percent), "confirmed")
-    final = store.write(components(links.union(more), store), "components")
-
-    placed = members.join(final, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
+    # Groups of one block, or of one component, have nothing left to compare.
+    spread = _members(labelled.withColumn("shingles", F.lit(None))).where("parts > 1")
+    open_groups = spread.groupBy("group").agg((F.min("label") != F.max("label")).alias("open")).where("open")
+    open_members = spread.drop("shingles").join(open_groups.select("group"), "group", "left_semi")
+    more = confirmed(_in_pairs_of_blocks(open_members.join(sets.select("id", "shingles"), "id")))
+    final = store.write(_components_of(links.union(more), store), "components")
+
+    placed = classed.join(final, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     return (
         signed.select("doc_id", "n")
         .join(placed, "doc_id", "left")

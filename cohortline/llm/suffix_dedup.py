@@ -39,8 +39,8 @@ from cohortline.llm.textscan import SpanHash, mix, texts_as_bytes
 LENGTH = 50
 GRAM = 16
 BUCKET_BYTES = 4 << 20
-PART_BYTES = 8 << 20
-INDEX_BITS = 21
+PART_BYTES = 4 << 20
+INDEX_BITS = 20
 SHARD_BYTES = (1 << INDEX_BITS) - 1
 _INDEX = np.uint64((1 << INDEX_BITS) - 1)
 _SHIFT = np.uint64(INDEX_BITS)
@@ -351,6 +351,21 @@ def _send_contexts(bits: int):
     return send
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of spans in order of their starts, a few bytes of data at a time."""
+    one, two = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        low = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(starts, low + (1 << 20))))
+        high = int((starts[a:b] + lengths[a:b]).max())
+        part = data[low:high]
+        at, to = starts[a:b] - low, starts[a:b] + lengths[a:b] - low
+        one[a:b], two[a:b] = SpanHash(part)(at, to), SpanHash(part, seed=23)(at, to)
+        a = b
+    return one, two
+
+
 def merge_records(blobs: list[bytes]) -> list[bytes]:
     """Marked starts of each bucket's records: windows that start in a smaller document too."""
     unpacked = [_unpack(blob, *_RECORDS) for blob in blobs]
@@ -359,18 +374,21 @@ def merge_records(blobs: list[bytes]) -> list[bytes]:
     counts = windows.astype(np.int64)
     lengths = counts + LENGTH - 1
     begins = np.cumsum(lengths) - lengths
-    one, two = SpanHash(data), SpanHash(data, seed=23)
     # Equal stretches are merged as wholes; only one of each is opened into windows.
-    whole = mix(one(begins, begins + lengths) ^ (lead.astype(np.uint64) << np.uint64(48)) ^ anchors)
-    check = two(begins, begins + lengths)
-    _, leader, same = np.unique(np.stack([whole, check], 1).view("u8,u8").ravel(), return_index=True, return_inverse=True)
+    whole, check = _hashes(data, begins, lengths)
+    whole = mix(whole ^ (lead.astype(np.uint64) << np.uint64(48)) ^ anchors)
+    _, leader, same = np.unique(whole, return_index=True, return_inverse=True)
+    if (check[leader][same] != check).any():
+        both = np.stack([whole, check], 1).view("u8,u8").ravel()
+        _, leader, same = np.unique(both, return_index=True, return_inverse=True)
     least = np.full(len(leader), np.iinfo(np.int64).max)
     np.minimum.at(least, same, ids)
     opened = counts[leader]
     ends = np.cumsum(opened)
-    starts = np.arange(int(ends[-1])) - np.repeat(ends - opened - begins[leader], opened)
-    window = one(starts, starts + LENGTH)
-    control = two(starts, starts + LENGTH)
+    starts = np.arange(int(ends[-1])) - np.repeat(ends - opened, opened)
+    texts = _gather(data, begins[leader], lengths[leader])
+    begins = np.cumsum(lengths[leader]) - lengths[leader]
+    window, control = _hashes(texts, np.repeat(begins, opened) + starts, np.full(len(starts), LENGTH))
     order = np.argsort(window, kind="stable")
     merged = window[order]
     heads = np.append(True, merged[1:] != merged[:-1])
