@@ -39,7 +39,7 @@ from cohortline.llm.textscan import SpanHash, mix, texts_as_bytes
 LENGTH = 50
 GRAM = 16
 BUCKET_BYTES = 4 << 20
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 INDEX_BITS = 20
 SHARD_BYTES = (1 << INDEX_BITS) - 1
 _INDEX = np.uint64((1 << INDEX_BITS) - 1)
@@ -400,6 +400,7 @@ def merge_records(blobs: list[bytes]) -> list[bytes]:
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(heads) - 1
     smallest = run_least[group]
+    del merged, window, control, order, heads, group, texts
 
     results, at = [], 0
     firsts = ends - opened
