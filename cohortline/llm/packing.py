@@ -28,6 +28,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,9 @@ from cohortline.llm.textscan import blocks
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_200_000
+# Words met first, which hold the frequent ones, stay when the cache is full.
+KEPT_WORDS = 200_000
 
 # Texts with anything else (other scripts, odd white space, special tokens) are encoded whole.
 _PLAIN = regex.compile(r"[^\x00-ɏ]|[\x1c-\x1f\x85\xa0]|<\|")
@@ -59,12 +62,14 @@ class WordEncoder:
         for token, number in vocabulary.items():
             self.closes[number] = token.endswith("</w>")
         self.cached = cached
-        self._forget()
-
-    def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.begins = array("I"), array("q", [0])
 
+    def _trim(self, kept: int) -> None:
+        self.index = dict(islice(self.index.items(), kept))
+        del self.begins[len(self.index) + 1 :]
+        del self.ids[self.begins[-1] :]
+
     def _learn(self, words: list[str]) -> None:
         for at in range(0, len(words), 2048):
             chunk = words[at : at + 2048]
@@ -101,8 +106,8 @@ class WordEncoder:
                 words += own
         new = set(words).difference(self.index)
         if len(self.index) + len(new) > self.cached:
-            self._forget()
-            new = set(words)
+            self._trim(min(KEPT_WORDS, self.cached // 2))
+            new = set(words).difference(self.index)
         self._learn(sorted(new))
         place = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         begins = np.frombuffer(self.begins, np.int64)
