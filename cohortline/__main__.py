@@ -11,7 +11,8 @@ import argparse
 from cohortline.refresh import refresh
 from cohortline.session import build_session
 from cohortline.sources.pages import APPLICATIONS, STUDIES
-from cohortline.streaming.ingest import current_records, ingest, raw_table
+from cohortline.streaming.ingest import compact, ingest, raw_table
+from cohortline.workspace import prune
 
 SOURCES = {source.name: source for source in (STUDIES, APPLICATIONS)}
 
@@ -24,10 +25,13 @@ def parser() -> argparse.ArgumentParser:
     for name in ("landing", "log", "checkpoint"):
         take.add_argument(f"--{name}", required=True)
     take.add_argument("--files-per-batch", type=int, default=1000)
+    take.add_argument("--rejects", choices=("keep", "fail"), default="keep")
     build = jobs.add_parser("refresh", help="rebuild, check, publish and export all tables")
     for name in ("studies-log", "applications-log", "target"):
         build.add_argument(f"--{name}", required=True)
     build.add_argument("--skip-rules", action="store_true")
+    build.add_argument("--partial", action="store_true", help="publish the branches that pass their rules")
+    build.add_argument("--keep-runs", type=int, default=2)
     return root
 
 
@@ -44,11 +48,25 @@ def main(arguments: list[str] | None = None) -> None:
             source.list_field,
             source.key_path,
             options.files_per_batch,
+            options.rejects,
         )
         return
-    studies = raw_table(current_records(spark, options.studies_log), STUDIES.key_name)
-    applications = raw_table(current_records(spark, options.applications_log), APPLICATIONS.key_name)
-    refresh(studies, applications, options.target, strict=not options.skip_rules)
+    # The snapshot of a log is made from the one before and the batches since, and is the raw table.
+    tables = {
+        source: raw_table(compact(spark, log, f"{options.target}/snapshots/{source.name}"), source.key_name)
+        for source, log in ((STUDIES, options.studies_log), (APPLICATIONS, options.applications_log))
+    }
+    refresh(
+        tables[STUDIES],
+        tables[APPLICATIONS],
+        options.target,
+        strict=not options.skip_rules,
+        partial=options.partial,
+        keep_runs=options.keep_runs,
+        copy_raw=False,
+    )
+    for source in tables:
+        prune(spark, f"{options.target}/snapshots/{source.name}", options.keep_runs)
 
 
 if __name__ == "__main__":

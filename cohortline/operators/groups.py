@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import row_count
 from cohortline.operators.joins import lookup_with_null
-from cohortline.workspace import Workspace
 
 
 def mode_per_group(frame: DataFrame, group: str, value: str, **totals: Column) -> DataFrame:
@@ -28,14 +27,14 @@ def mode_per_group(frame: DataFrame, group: str, value: str, **totals: Column) -
     )
 
 
-def per_group_totals(frame: DataFrame, group: str, workspace: Workspace, **totals: Column) -> DataFrame:
+def per_group_totals(frame: DataFrame, group: str, **totals: Column) -> DataFrame:
     """Every row with the totals of its group, NULL being a group of its own.
 
     An aggregate looked up, not a window: a window would sort all rows of a hot
     group in one task, while the aggregate is combined on the map side.
     """
     summed = frame.groupBy(group).agg(*(column.alias(name) for name, column in totals.items()))
-    return lookup_with_null(frame, workspace.write_fresh(summed, "totals"), group)
+    return lookup_with_null(frame, summed, group)
 
 
 def value_histogram(frame: DataFrame, groups: Sequence[str], value: str) -> DataFrame:

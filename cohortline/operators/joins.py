@@ -1,49 +1,25 @@
 """Joins of facts with lookup tables.
 
-A lookup table is broadcast only after its rows have been counted and found to be
-few. Beyond that bound the fact is shuffled, except for the rows of its heaviest
-keys, which meet their few lookup rows by broadcast. Both ways give all rows.
+Whether a lookup table is broadcast is left to Spark, which compares the size of its
+stored files, or of its shuffled rows at run time, with
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that, both sides are shuffled once and
+adaptive execution splits the partitions of hot keys and of NULL, repeating the few
+lookup rows they meet. The fact is read and shuffled once either way.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import normalized_name, row_count
-from cohortline.operators.ranking import top_k
-
-# Lookup rows are a key and a few attributes, some hundred bytes each.
-BROADCAST_ROWS = 100_000
-# Any key outside the heaviest thousand holds less than a thousandth of the rows.
-HEAVY_KEYS = 1_000
 
 
 def lookup(fact: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Rows of the fact with the columns of a dimension that is unique on ``on``.
-
-    ``how`` is left or inner. The dimension should be a stored table: counting one
-    reads file footers only.
-    """
-    keys = [on] if isinstance(on, str) else list(on)
-    if dimension.count() <= BROADCAST_ROWS:
-        return fact.join(F.broadcast(dimension), keys, how)
-    present = reduce(and_, (F.col(key).isNotNull() for key in keys))
-    keyed = fact.where(present)
-    counts = keyed.groupBy(*keys).agg(row_count().alias("_rows"))
-    heavy = F.broadcast(top_k(counts, HEAVY_KEYS, F.col("_rows").desc(), *map(F.col, keys)).select(*keys))
-    on_heavy = keyed.join(heavy, keys, "left_semi").join(
-        F.broadcast(dimension.join(heavy, keys, "left_semi")), keys, how
-    )
-    on_others = keyed.join(heavy, keys, "left_anti").join(dimension, keys, how)
-    joined = on_heavy.unionByName(on_others)
-    if how == "left":
-        # NULL matches nothing and would hash to one partition.
-        joined = joined.unionByName(fact.where(~present), allowMissingColumns=True)
-    return joined
+    """Rows of the fact with the columns of a dimension that is unique on ``on``; left or inner."""
+    return fact.join(dimension, [on] if isinstance(on, str) else list(on), how)
 
 
 def lookup_with_null(fact: DataFrame, dimension: DataFrame, on: str) -> DataFrame:

@@ -44,7 +44,7 @@ def _queries() -> dict[str, Query]:
         for name, build in _public(module, prefix).items():
             if name not in helpers:
                 found[name] = _over_tables(build)
-    found["trust_lights"] = lambda w: dashboards.trust_lights(found["trust_scorecard"](w))
+    found["trust_lights"] = lambda w: dashboards.trust_lights(found["pipeline_trust_scorecard"](w))
     for name in ("not_null", "unique", "accepted_values", "relationships"):
         found[f"dq_{name}"] = lambda w, check=getattr(quality, name): check(w.table)
     return found

@@ -22,13 +22,13 @@ GOOD_MAX, WARNING_MAX = 0.15, 0.35
 TOP_MARK = "🏆"
 
 
-def approvals_yearly_total(application_status: DataFrame) -> DataFrame:
-    by_year = serving.approvals_per_year(application_status, "sponsor_name", "UNKNOWN")
+def approvals_yearly_total(applicant_years: DataFrame) -> DataFrame:
+    by_year = serving.approvals_per_year(applicant_years, "sponsor_name", "UNKNOWN")
     return by_year.groupBy("approval_year").agg(F.sum("approval_count").alias("approval_count"))
 
 
-def approvals_top10_series(application_status: DataFrame, members: int = 10) -> DataFrame:
-    by_year = serving.approvals_per_year(application_status, "sponsor_name", "UNKNOWN")
+def approvals_top10_series(applicant_years: DataFrame, members: int = 10) -> DataFrame:
+    by_year = serving.approvals_per_year(applicant_years, "sponsor_name", "UNKNOWN")
     leaders = rows_of_top_members(by_year, "sponsor_name", "approval_count", members)
     return leaders.orderBy("approval_year", "sponsor_name")
 
@@ -58,11 +58,17 @@ def funnel_top_n(
 
 
 def league_ranked(dim_sponsor: DataFrame, workspace: Workspace, classes: Sequence[str] | None = None) -> DataFrame:
-    """League table with positions; an empty selection means all classes."""
+    """League table with positions.
+
+    The page starts with all classes chosen, which leaves out sponsors without one; an
+    emptied selection shows everyone.
+    """
     league = dim_sponsor.select(
         "sponsor_name", "sponsor_class", "trials_total", "trials_completed", "success_rate"
     )
-    if classes:
+    if classes is None:
+        league = league.where("sponsor_class is not null")
+    elif classes:
         league = league.where(F.col("sponsor_class").isin(*classes))
     ranked = number_rows(league, "rank", workspace, F.col("trials_total").desc(), F.col("sponsor_name").asc())
     mark = F.when(F.col("rank") <= 10, F.lit(TOP_MARK)).otherwise(F.lit(""))
@@ -75,13 +81,25 @@ def duration_censor_split(metric_duration_trends: DataFrame, cutoff: int = CENSO
 
 def duration_phase_series_truncated(
     metric_duration_trends_by_phase: DataFrame,
-    phases: Sequence[str] = DEFAULT_PHASES,
+    phases: Sequence[str] | None = None,
     cutoff: int = CENSOR_CUTOFF,
 ) -> DataFrame:
-    """Series of the chosen phases up to the cutoff; no phase chosen, no row."""
+    """Series of the chosen phases up to the cutoff: by default the four phases that exist,
+    else the first four labels; no phase chosen, no row."""
     series = serving.duration_trends_by_phase(metric_duration_trends_by_phase)
-    chosen = F.col("phase").isin(*phases) if phases else F.lit(False)
-    return series.where(chosen & (F.col("start_year") <= cutoff)).select(
+    if phases is None:
+        # Labels are few; the windows run over one row each.
+        preferred = F.col("phase").isin(*DEFAULT_PHASES)
+        known = series.select("phase").distinct().select(
+            "phase",
+            preferred.alias("preferred"),
+            F.max(preferred).over(Window.partitionBy()).alias("any"),
+            F.row_number().over(Window.orderBy("phase")).alias("n"),
+        )
+        series = series.join(known.where("preferred or (not any and n <= 4)").select("phase"), "phase", "left_semi")
+    else:
+        series = series.where(F.col("phase").isin(*phases) if phases else F.lit(False))
+    return series.where(F.col("start_year") <= cutoff).select(
         "phase", "start_year", "median_duration_days"
     )
 

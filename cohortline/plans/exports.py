@@ -10,8 +10,8 @@ from cohortline.operators import lookup
 from cohortline.plans import serving
 
 
-def export_approval_landscape(application_status: DataFrame) -> DataFrame:
-    return serving.approvals_per_year(application_status, "applicant_name", "Unknown").orderBy(
+def export_approval_landscape(applicant_years: DataFrame) -> DataFrame:
+    return serving.approvals_per_year(applicant_years, "applicant_name", "Unknown").orderBy(
         "approval_year", F.col("approval_count").desc(), "applicant_name"
     )
 
@@ -75,5 +75,5 @@ def export_phase_distribution(fct_trials: DataFrame) -> DataFrame:
     )
 
 
-def export_trust_scorecard(condition_funnel: DataFrame, dim_condition: DataFrame, fct_trials: DataFrame) -> DataFrame:
-    return round_rates(serving.trust_scorecard(condition_funnel, dim_condition, fct_trials))
+def export_pipeline_trust(condition_funnel: DataFrame, dim_condition: DataFrame, fct_trials: DataFrame) -> DataFrame:
+    return round_rates(serving.pipeline_trust_scorecard(condition_funnel, dim_condition, fct_trials))

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from cohortline import functions as fn
 from cohortline import operators as op
 from cohortline.plans import dashboards, exports, insights, marts, metrics, quality, serving, staging
-from cohortline.schemas import APPLICATION_PAYLOAD, STUDY_PAYLOAD
 from cohortline.sinks.csv import write_csv
-from cohortline.sinks.layers import append_audit, publish_tables, read_audit, register_views
+from cohortline.sinks.layers import append_audit, publish_staging, publish_tables, read_audit
 from cohortline.sources import pages
 from cohortline.sources.benchmark_tables import event_pages, event_records
-from cohortline.sources.documents import parse_studies
+from cohortline.sources.documents import nested_schema, parsed, study_columns
 from cohortline.streaming import ingest as streams
 from cohortline.warehouse import Warehouse
 
@@ -21,17 +20,14 @@ from cohortline.warehouse import Warehouse
 
 
 def src_raw_studies(w: Warehouse) -> DataFrame:
-    doc = F.from_json("payload", STUDY_PAYLOAD)
-    return w.raw_studies.select(
-        "nct_id", "fetched_at", doc["protocolSection"]["identificationModule"]["nctId"].alias("document_key")
-    )
+    path = "protocolSection.identificationModule.nctId"
+    documents = parsed(w.raw_studies, nested_schema([path], {})).where("doc is not null")
+    return documents.select("nct_id", "fetched_at", F.col(f"doc.{path}").alias("document_key"))
 
 
 def src_raw_applications(w: Warehouse) -> DataFrame:
-    doc = F.from_json("payload", APPLICATION_PAYLOAD)
-    return w.raw_applications.select(
-        "application_number", "fetched_at", doc["application_number"].alias("document_key")
-    )
+    documents = parsed(w.raw_applications, "application_number string").where("doc is not null")
+    return documents.select("application_number", "fetched_at", F.col("doc.application_number").alias("document_key"))
 
 
 def ingest_page_unpack(w: Warehouse) -> DataFrame:
@@ -88,9 +84,9 @@ def audit_exclusions(w: Warehouse) -> DataFrame:
 
 
 def sink_view(w: Warehouse) -> DataFrame:
-    register_views(w)
+    publish_staging(w)
     return serving.run_query(
-        w.spark, "SELECT overall_status, count(*) AS trial_count FROM stg_trials GROUP BY overall_status"
+        w.spark, "SELECT overall_status, count(*) AS trial_count FROM staging.stg_trials GROUP BY overall_status"
     )
 
 
@@ -111,15 +107,15 @@ def sink_csv(w: Warehouse) -> DataFrame:
 
 
 def proj_json_path(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "brief_title", "overall_status")
+    return study_columns(w.raw_studies, "brief_title", "overall_status").drop("source_fetched_at")
 
 
 def proj_json_cast(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "enrollment_count", "has_results")
+    return study_columns(w.raw_studies, "enrollment_count", "has_results").drop("source_fetched_at")
 
 
 def proj_null_if_blank(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "sponsor_name", "sponsor_class", "why_stopped")
+    return study_columns(w.raw_studies, "sponsor_name", "sponsor_class", "why_stopped").drop("source_fetched_at")
 
 
 def proj_rename(w: Warehouse) -> DataFrame:
@@ -358,16 +354,15 @@ def win_row_number_over_agg(w: Warehouse) -> DataFrame:
 
 
 def win_partition_count(w: Warehouse) -> DataFrame:
-    return op.per_group_totals(w.bridge_trial_condition, "nct_id", w.workspace, _n=fn.row_count()).select(
-        "bridge_key", (F.col("_n") > 1).alias("multi_condition_flag")
-    )
+    # A trial's conditions are those of one document, so a partition is bounded by it.
+    per_trial = fn.row_count().over(Window.partitionBy("nct_id"))
+    return w.bridge_trial_condition.select("bridge_key", (per_trial > 1).alias("multi_condition_flag"))
 
 
 def win_partition_sum(w: Warehouse) -> DataFrame:
     totals = op.per_group_totals(
         w.trial_funnel,
         "condition_name",
-        w.workspace,
         condition_phase2_trials=F.count_if("is_phase2"),
         condition_phase3_trials=F.count_if("is_phase3"),
     )
@@ -375,8 +370,14 @@ def win_partition_sum(w: Warehouse) -> DataFrame:
 
 
 def win_ratio(w: Warehouse) -> DataFrame:
+    two, three, approved = (
+        F.col(f"condition_{stage}_trials") for stage in ("phase2", "phase3", "approved")
+    )
     return w.metric_phase_transition.select(
-        "nct_id", "phase2_to_phase3_rate", "phase3_to_approval_rate", "phase2_to_approval_rate"
+        "nct_id",
+        fn.ratio(three, two).alias("phase2_to_phase3_rate"),
+        fn.ratio(approved, three).alias("phase3_to_approval_rate"),
+        fn.ratio(approved, two).alias("phase2_to_approval_rate"),
     )
 
 
@@ -422,7 +423,7 @@ def topk_limit(w: Warehouse) -> DataFrame:
 
 
 def topk_members(w: Warehouse) -> DataFrame:
-    series = serving.approvals_per_year(w.application_status, "sponsor_name", "UNKNOWN")
+    series = serving.approvals_per_year(w.applicant_years, "sponsor_name", "UNKNOWN")
     return op.rows_of_top_members(series, "sponsor_name", "approval_count", 3)
 
 
@@ -442,19 +443,20 @@ def fn_surrogate_key(w: Warehouse) -> DataFrame:
 
 
 def fn_array_join_nullif(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "phase")
+    return study_columns(w.raw_studies, "phase").drop("source_fetched_at")
 
 
 def fn_array_length(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "num_primary_outcomes", "num_sites")
+    return study_columns(w.raw_studies, "num_primary_outcomes", "num_sites").drop("source_fetched_at")
 
 
 def fn_partial_date(w: Warehouse) -> DataFrame:
-    return parse_studies(w.raw_studies).select("nct_id", "start_date", "completion_date")
+    return study_columns(w.raw_studies, "start_date", "completion_date").drop("source_fetched_at")
 
 
 def _submission_dates(w: Warehouse) -> DataFrame:
-    doc = w.raw_applications.select("application_number", F.from_json("payload", APPLICATION_PAYLOAD).alias("doc"))
+    fields = "submission_type: string, submission_number: string, submission_status_date: string"
+    doc = parsed(w.raw_applications, f"submissions array<struct<{fields}>>")
     return doc.select("application_number", F.explode("doc.submissions").alias("s")).select(
         "application_number", "s.submission_type", "s.submission_number", "s.submission_status_date"
     )

@@ -17,7 +17,12 @@ def insight_phase2_band(condition_funnel: DataFrame, min_phase2_trials: int = 10
     )
     in_band = F.col("phase2_to_phase3_rate") <= 1
     place = F.when(
-        in_band, F.struct(-F.col("phase2_to_phase3_rate"), F.coalesce("condition_name", F.lit("")).alias("name"))
+        in_band,
+        F.struct(
+            -F.col("phase2_to_phase3_rate"),
+            F.coalesce("condition_name", F.lit("")).alias("place"),
+            F.col("condition_name").alias("name"),
+        ),
     )
     summary = shown.agg(
         F.count_if(F.col("phase2_to_phase3_rate") > 1).alias("over_count"),

@@ -42,6 +42,14 @@ def application_status(applications_parsed: DataFrame) -> DataFrame:
     )
 
 
+def applicant_years(application_status: DataFrame) -> DataFrame:
+    """Applications first approved, per year and applicant."""
+    approved = application_status.where(F.col("is_approved") & F.col("first_approval_date").isNotNull())
+    return approved.groupBy(F.year("first_approval_date").alias("approval_year"), "sponsor_name").agg(
+        row_count().alias("approval_count")
+    )
+
+
 def fda_sponsors(application_status: DataFrame) -> DataFrame:
     """Applicants under their normalized name. An application is one row of the input."""
     return (

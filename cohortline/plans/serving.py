@@ -30,16 +30,15 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
-def approvals_per_year(application_status: DataFrame, name: str, missing: str) -> DataFrame:
-    approved = application_status.where(F.col("is_approved") & F.col("first_approval_date").isNotNull())
-    return approved.groupBy(
-        F.year("first_approval_date").alias("approval_year"),
-        fill_missing(F.col("sponsor_name"), missing).alias(name),
-    ).agg(row_count().alias("approval_count"))
+def approvals_per_year(applicant_years: DataFrame, name: str, missing: str) -> DataFrame:
+    """Counts under the shown name; applicants without a name join those so called."""
+    return applicant_years.groupBy("approval_year", fill_missing(F.col("sponsor_name"), missing).alias(name)).agg(
+        F.sum("approval_count").alias("approval_count")
+    )
 
 
-def approvals_by_sponsor_class_year(application_status: DataFrame) -> DataFrame:
-    return approvals_per_year(application_status, "sponsor_name", "UNKNOWN").orderBy(
+def approvals_by_sponsor_class_year(applicant_years: DataFrame) -> DataFrame:
+    return approvals_per_year(applicant_years, "sponsor_name", "UNKNOWN").orderBy(
         "approval_year", "sponsor_name"
     )
 
@@ -161,7 +160,7 @@ def phase_distribution_by_year(fct_trials: DataFrame) -> DataFrame:
     return trials_per_phase_year(fct_trials).orderBy("start_year", "phase")
 
 
-def trust_scorecard(condition_funnel: DataFrame, dim_condition: DataFrame, fct_trials: DataFrame) -> DataFrame:
+def pipeline_trust_scorecard(condition_funnel: DataFrame, dim_condition: DataFrame, fct_trials: DataFrame) -> DataFrame:
     """Known limits of the data as one row: four rates and the grouping flag."""
     flags = phase_funnel_audit_metrics(condition_funnel).select(
         "multi_condition_flag_rate",

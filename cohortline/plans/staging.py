@@ -66,6 +66,14 @@ def stg_approvals(applications_parsed: DataFrame) -> DataFrame:
     )
 
 
+def excluded_documents(unreadable: DataFrame, model: str) -> DataFrame:
+    """Audit row: how many documents of a source could not be read; none if all could."""
+    counted = unreadable.agg(row_count().alias("excluded_count")).where("excluded_count > 0")
+    return counted.select(
+        F.lit(model).alias("model_name"), F.lit("payload is no readable document").alias("exclusion_reason"), "excluded_count"
+    )
+
+
 def excluded_applications(applications_parsed: DataFrame) -> DataFrame:
     """Audit row: how many applications have no submission to put in staging."""
     empty = F.coalesce(F.array_size("submissions"), F.lit(0)) == 0

@@ -2,52 +2,98 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 
 from cohortline.plans import quality, staging
+from cohortline.schemas import APPLICATION_PAYLOAD, STUDY_PAYLOAD
 from cohortline.sinks.csv import export_all
-from cohortline.sinks.layers import append_audit, publish_tables, register_views
+from cohortline.sinks.layers import append_audit, publish_staging, publish_tables, register_views
+from cohortline.sources.documents import unreadable
 from cohortline.warehouse import LAYERS, MODELS, RAW, Warehouse
-from cohortline.workspace import Workspace
+from cohortline.workspace import Workspace, prune
 
 
-def check_models(w: Warehouse, models: list[str]) -> None:
-    """Raise if a rule on one of these models has failures."""
+def check_models(w: Warehouse, models: list[str], stopped: Collection[str] = ()) -> None:
+    """Raise if a rule on one of these models has failures; rules against stopped models are left out."""
     checks = (
         (quality.not_null, {m: c for m, c in quality.NOT_NULL.items() if m in models}),
         (quality.unique, {m: c for m, c in quality.UNIQUE.items() if m in models}),
         (quality.accepted_values, {m: c for m, c in quality.ACCEPTED.items() if m in models}),
-        (quality.relationships, [rule for rule in quality.RELATIONSHIPS if rule[0] in models]),
+        (quality.relationships, [rule for rule in quality.RELATIONSHIPS if rule[0] in models and rule[2] not in stopped]),
     )
     for check, rules in checks:
         if rules:
             quality.require_clean(check(w.table, rules))
 
 
-def refresh(raw_studies: DataFrame, raw_applications: DataFrame, folder: str, strict: bool = True) -> Warehouse:
-    """Rebuild all layers below ``folder``.
+def refresh(
+    raw_studies: DataFrame,
+    raw_applications: DataFrame,
+    folder: str,
+    strict: bool = True,
+    partial: bool = False,
+    keep_runs: int = 2,
+    copy_raw: bool = True,
+) -> Warehouse:
+    """Rebuild all layers in a folder of this run below ``folder/runs``, check them, then publish.
 
-    Each layer's rules are checked before the next layer is built, so that nothing
-    is published from tables that break one. ``strict=False`` skips the rules.
+    Nothing that is published changes before the rules have been checked: tables, views
+    and exports keep showing the former run. A model that breaks a rule stops those that
+    read it; other branches are built and checked on. If any rule is broken the run raises
+    at the end, having published nothing, or with ``partial`` the branches that passed
+    (without exports). ``strict=False`` skips the rules. Runs beyond the newest
+    ``keep_runs`` are deleted after publishing. ``copy_raw=False`` reads stored raw
+    tables in place, as the jobs do with their snapshots.
     """
-    workspace = Workspace(raw_studies.sparkSession, folder)
-    w = Warehouse(
-        workspace.write(raw_studies, "raw", "studies"),
-        workspace.write(raw_applications, "raw", "applications"),
-        workspace,
-    )
+    spark = raw_studies.sparkSession
+    run = f"{time.time_ns() // 1_000_000:014d}-{uuid.uuid4().hex[:6]}"
+    workspace = Workspace(spark, f"{folder}/runs/{run}")
+    if copy_raw:
+        raw_studies = workspace.write(raw_studies, "raw", "studies")
+        raw_applications = workspace.write(raw_applications, "raw", "applications")
+    w = Warehouse(raw_studies, raw_applications, workspace)
     quality.require_nonempty(w.table)
-    if strict:
-        check_models(w, list(RAW))
-    append_audit(staging.excluded_applications(w.applications_parsed), w.workspace.path("ops", "extraction_log"))
-    for layer in LAYERS:
-        models = [name for name, model in MODELS.items() if model.layer == layer]
-        for name in models:
-            w.table(name)
+    failures: list[str] = []
+    stopped: set[str] = set()
+
+    def passes(name: str) -> bool:
         if strict:
-            check_models(w, models)
-    register_views(w)
+            try:
+                check_models(w, [name], stopped)
+            except quality.QualityError as error:
+                failures.append(str(error))
+                return False
+        return True
+
+    for name in RAW:
+        if not passes(name):
+            stopped.add(name)
+    for name, model in MODELS.items():
+        if stopped.intersection(model.inputs):
+            stopped.add(name)
+            continue
+        w.table(name)
+        if model.layer in LAYERS and not passes(name):
+            stopped.add(name)
+    if failures and not partial:
+        raise quality.QualityError("; ".join(failures))
+
+    passed = set(MODELS) - stopped
+    log = f"{folder}/ops/extraction_log"
+    append_audit(staging.excluded_documents(unreadable(w.raw_studies, STUDY_PAYLOAD), "stg_trials"), log)
+    append_audit(staging.excluded_documents(unreadable(w.raw_applications, APPLICATION_PAYLOAD), "stg_approvals"), log)
+    if "applications_parsed" in passed:
+        append_audit(staging.excluded_applications(w.applications_parsed), log)
+    register_views(w, passed)
+    publish_staging(w, passed)
     for layer in ("marts", "metrics"):
-        publish_tables(w, layer)
-    export_all(w, w.workspace.path("exports"))
+        publish_tables(w, layer, passed)
+    if failures:
+        raise quality.QualityError("; ".join(failures))
+    export_all(w, f"{folder}/exports")
+    prune(spark, f"{folder}/runs", keep_runs)
     return w

@@ -7,56 +7,112 @@ gives the same pairs as a distinct over all rows, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import blank_to_null, compact_date, joined_or_null, partial_date, trimmed_or_null
-from cohortline.schemas import APPLICATION_PAYLOAD, STUDY_PAYLOAD
+from cohortline.schemas import APPLICATION_PAYLOAD
 
 
 def _distinct_present(items: Column, present) -> Column:
     return F.array_distinct(F.filter(items, present))
 
 
-def parse_studies(raw_studies: DataFrame) -> DataFrame:
-    """One typed row per study document, conditions and interventions still nested."""
-    doc = raw_studies.withColumn("doc", F.from_json("payload", STUDY_PAYLOAD))
-    section = "doc.protocolSection."
+_UNREAD = "_unread"
+
+
+def parsed(raw: DataFrame, schema: str) -> DataFrame:
+    """The raw rows with their document as ``doc``; null where the payload is no such JSON object."""
+    doc = F.from_json("payload", f"{schema}, {_UNREAD} string", {"columnNameOfCorruptRecord": _UNREAD})
+    readable = F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False)) & F.col("doc")[_UNREAD].isNull()
+    return raw.withColumn("doc", doc).withColumn("doc", F.when(readable, F.col("doc").dropFields(_UNREAD)))
+
+
+def unreadable(raw: DataFrame, schema: str) -> DataFrame:
+    """Raw rows whose payload cannot be read; no model sees them, the audit log counts them."""
+    return parsed(raw, schema).where("doc is null").drop("doc")
+
+
+def nested_schema(paths: list[str], types: dict[str, str]) -> str:
+    """Schema of a JSON object with these dotted paths only."""
+    tree: dict = {}
+    for path in paths:
+        *parents, leaf = path.split(".")
+        node = tree
+        for name in parents:
+            node = node.setdefault(name, {})
+        node[leaf] = types.get(path, "string")
+
+    def ddl(node: dict, mark: str = ":") -> str:
+        return ", ".join(f"{k}{mark} {v if isinstance(v, str) else f'struct<{ddl(v)}>'}" for k, v in node.items())
+
+    return ddl(tree, "")
+
+
+_SECTION = "protocolSection."
+_TYPES = {
+    _SECTION + "designModule.phases": "array<string>",
+    _SECTION + "outcomesModule.primaryOutcomes": "array<string>",
+    _SECTION + "contactsLocationsModule.locations": "array<string>",
+    _SECTION + "conditionsModule.conditions": "array<string>",
+    _SECTION + "armsInterventionsModule.interventions": "array<struct<name: string, type: string>>",
+}
 
-    def at(path: str) -> Column:
-        return F.col(section + path)
 
-    conditions = F.transform(at("conditionsModule.conditions"), trimmed_or_null)
-    interventions = F.transform(
-        at("armsInterventionsModule.interventions"),
+def _conditions(items: Column) -> Column:
+    return _distinct_present(F.transform(items, trimmed_or_null), lambda name: name.isNotNull())
+
+
+def _interventions(items: Column) -> Column:
+    trimmed = F.transform(
+        items,
         lambda item: F.struct(
             trimmed_or_null(item["name"]).alias("name"),
             trimmed_or_null(item["type"]).alias("type"),
         ),
     )
-    return doc.select(
-        "nct_id",
-        at("identificationModule.briefTitle").alias("brief_title"),
-        at("statusModule.overallStatus").alias("overall_status"),
-        joined_or_null(at("designModule.phases")).alias("phase"),
-        at("designModule.enrollmentInfo.count").cast("int").alias("enrollment_count"),
-        partial_date(at("statusModule.startDateStruct.date")).alias("start_date"),
-        partial_date(at("statusModule.completionDateStruct.date")).alias("completion_date"),
-        blank_to_null(at("sponsorCollaboratorsModule.leadSponsor.name")).alias("sponsor_name"),
-        blank_to_null(at("sponsorCollaboratorsModule.leadSponsor.class")).alias("sponsor_class"),
-        blank_to_null(at("statusModule.whyStopped")).alias("why_stopped"),
-        F.col("doc.hasResults").cast("boolean").alias("has_results"),
-        F.array_size(at("outcomesModule.primaryOutcomes")).alias("num_primary_outcomes"),
-        F.array_size(at("contactsLocationsModule.locations")).alias("num_sites"),
-        F.col("fetched_at").alias("source_fetched_at"),
-        _distinct_present(conditions, lambda name: name.isNotNull()).alias("conditions"),
-        _distinct_present(interventions, lambda item: item["name"].isNotNull()).alias("interventions"),
-    )
+    return _distinct_present(trimmed, lambda item: item["name"].isNotNull())
+
+
+# Column of a parsed study: where it is in the document, and how it is read.
+STUDY_COLUMNS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "brief_title": (_SECTION + "identificationModule.briefTitle", lambda text: text),
+    "overall_status": (_SECTION + "statusModule.overallStatus", lambda text: text),
+    "phase": (_SECTION + "designModule.phases", joined_or_null),
+    "enrollment_count": (_SECTION + "designModule.enrollmentInfo.count", lambda text: text.cast("int")),
+    "start_date": (_SECTION + "statusModule.startDateStruct.date", partial_date),
+    "completion_date": (_SECTION + "statusModule.completionDateStruct.date", partial_date),
+    "sponsor_name": (_SECTION + "sponsorCollaboratorsModule.leadSponsor.name", blank_to_null),
+    "sponsor_class": (_SECTION + "sponsorCollaboratorsModule.leadSponsor.class", blank_to_null),
+    "why_stopped": (_SECTION + "statusModule.whyStopped", blank_to_null),
+    "has_results": ("hasResults", lambda text: text.cast("boolean")),
+    "num_primary_outcomes": (_SECTION + "outcomesModule.primaryOutcomes", F.array_size),
+    "num_sites": (_SECTION + "contactsLocationsModule.locations", F.array_size),
+    "conditions": (_SECTION + "conditionsModule.conditions", _conditions),
+    "interventions": (_SECTION + "armsInterventionsModule.interventions", _interventions),
+}
+
+
+def study_columns(raw_studies: DataFrame, *names: str) -> DataFrame:
+    """Some columns of the studies; the parser is given the paths of these columns only."""
+    schema = nested_schema([STUDY_COLUMNS[name][0] for name in names], _TYPES)
+    documents = parsed(raw_studies, schema).where("doc is not null")
+    read = (STUDY_COLUMNS[name][1](F.col(f"doc.{STUDY_COLUMNS[name][0]}")).alias(name) for name in names)
+    return documents.select("nct_id", F.col("fetched_at").alias("source_fetched_at"), *read)
+
+
+def parse_studies(raw_studies: DataFrame) -> DataFrame:
+    """One typed row per readable study document, conditions and interventions still nested."""
+    columns = study_columns(raw_studies, *STUDY_COLUMNS)
+    first = [name for name in STUDY_COLUMNS if name not in ("conditions", "interventions")]
+    return columns.select("nct_id", *first, "source_fetched_at", "conditions", "interventions")
 
 
 def parse_applications(raw_applications: DataFrame) -> DataFrame:
-    """One typed row per application document, submissions still nested."""
-    doc = raw_applications.withColumn("doc", F.from_json("payload", APPLICATION_PAYLOAD))
+    """One typed row per readable application document, submissions still nested."""
+    doc = parsed(raw_applications, APPLICATION_PAYLOAD).where("doc is not null")
     submissions = F.transform(
         F.col("doc.submissions"),
         lambda s: F.struct(

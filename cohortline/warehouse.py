@@ -33,7 +33,7 @@ MODELS = {
     "studies_parsed": Model("parsed", documents.parse_studies),
     "applications_parsed": Model("parsed", documents.parse_applications),
     "stg_trials": Model("staging", staging.stg_trials, written=False),
-    "stg_sponsors": Model("staging", staging.stg_sponsors, written=False),
+    "stg_sponsors": Model("staging", staging.stg_sponsors),
     "stg_trial_conditions": Model("staging", staging.stg_trial_conditions, written=False),
     "stg_trial_interventions": Model("staging", staging.stg_trial_interventions, written=False),
     "stg_approvals": Model("staging", staging.stg_approvals, written=False),
@@ -45,6 +45,7 @@ MODELS = {
     "fct_trials": Model("marts", marts.fct_trials),
     "fct_approvals": Model("marts", marts.fct_approvals),
     "application_status": Model("shared", metrics.application_status),
+    "applicant_years": Model("shared", metrics.applicant_years),
     "fda_sponsors": Model("shared", metrics.fda_sponsors),
     "trial_funnel": Model("shared", metrics.trial_funnel),
     "condition_funnel": Model("shared", metrics.condition_funnel),

@@ -54,3 +54,14 @@ class Workspace:
         target = self.path(*parts)
         frame.write.mode("overwrite").parquet(target)
         return self.spark.read.parquet(target)
+
+
+def prune(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` subfolders, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return
+    names = sorted(status.getPath().getName() for status in system.listStatus(path) if status.isDirectory())
+    for name in names[:-keep] if keep else names:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), True)

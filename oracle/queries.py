@@ -329,7 +329,7 @@ def _statements() -> dict[str, str]:
         "why_stopped_coverage": f"""select {terminated} as terminated_trials,
           count(*) filter (is_terminated and why_stopped is not null) as terminated_with_reason from fct_trials""",
         "phase_distribution_by_year": "select * from phase_years",
-        "trust_scorecard": "select * from scorecard",
+        "pipeline_trust_scorecard": "select * from scorecard",
         # Dashboard derivations
         "approvals_yearly_total": """select approval_year, cast(sum(approval_count) as bigint) as approval_count
           from approvals_yearly group by all""",
@@ -344,11 +344,14 @@ def _statements() -> dict[str, str]:
           from funnel where condition_phase2_trials >= 100""",
         "funnel_top_n": f"""select {FUNNEL} from funnel where condition_phase2_trials >= 100
           order by condition_phase2_trials desc, condition_name nulls first limit 15""",
-        "league_ranked": ranked(),
+        "league_ranked": ranked("sponsor_class is not null"),
         "duration_censor_split": segmented(TREND, "metric_duration_trends"),
         "duration_phase_series_truncated": """select phase, start_year, median_duration_days
           from metric_duration_trends_by_phase
-          where phase in ('PHASE1', 'PHASE2', 'PHASE3', 'PHASE4') and start_year <= 2017""",
+          where start_year <= 2017 and if(
+            exists (select 1 from metric_duration_trends_by_phase where phase in ('PHASE1', 'PHASE2', 'PHASE3', 'PHASE4')),
+            phase in ('PHASE1', 'PHASE2', 'PHASE3', 'PHASE4'),
+            phase in (select distinct phase from metric_duration_trends_by_phase order by 1 limit 4))""",
         "cohort_compare": """
           select cohort_year, years_since_cohort, survivorship_rate as value from metric_sponsor_cohorts
           where if(exists (select 1 from metric_sponsor_cohorts where cohort_year in (2000, 2005, 2010, 2015, 2020)),
@@ -383,7 +386,7 @@ def _statements() -> dict[str, str]:
             {class_label("sponsor_class")} as sponsor_class, coalesce(why_stopped, 'Not Reported') as why_stopped,
             enrollment_count, start_date, completion_date, duration_days
           from fct_trials left join dim_sponsor using (sponsor_key) where is_terminated""",
-        "export_trust_scorecard": """select round(multi_condition_flag_rate, 4) as multi_condition_flag_rate,
+        "export_pipeline_trust": """select round(multi_condition_flag_rate, 4) as multi_condition_flag_rate,
             round(matched_to_fda_rate, 4) as matched_to_fda_rate, grouping_by_condition_name,
             round(therapeutic_area_null_rate, 4) as therapeutic_area_null_rate,
             round(completion_date_null_rate, 4) as completion_date_null_rate
@@ -397,8 +400,8 @@ def _statements() -> dict[str, str]:
           select condition_name, condition_phase2_trials, phase2_to_phase3_rate,
             (select count(*) from shown where phase2_to_phase3_rate > 1) as over_count,
             (select count(*) from shown) as total_count,
-            (select place from band order by phase2_to_phase3_rate desc, place limit 1) as highest_condition,
-            (select place from band order by phase2_to_phase3_rate, place desc limit 1) as lowest_condition
+            (select condition_name from band order by phase2_to_phase3_rate desc, place limit 1) as highest_condition,
+            (select condition_name from band order by phase2_to_phase3_rate, place desc limit 1) as lowest_condition
           from band order by phase2_to_phase3_rate desc, condition_name nulls first limit 15""",
         "insight_approval_noise": """
           with shown as (

@@ -18,7 +18,7 @@ from cohortline.workspace import Workspace  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        f"local[{os.environ.get('TEST_CORES', '8')}]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",

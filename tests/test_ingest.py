@@ -7,97 +7,101 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cohortline.sources.pages import after_key, unpack_pages
-from cohortline.streaming.ingest import current_records, ingest, land, raw_table
+from cohortline.sources.pages import NO_KEY, UNREADABLE_PAGE, after_key, unpack_pages
+from cohortline.streaming.ingest import compact, current_records, ingest, land, raw_table, rejected_records
 
 T = datetime.datetime(2024, 1, 1)
-FIRST = [
-    {"book_id": "LC-001", "title": "Domain-Driven Design", "author": "Eric Evans"},
-    {"book_id": "LC-002", "title": "Refactoring", "author": "Martin Fowler"},
-]
-SECOND = [{"book_id": "LC-003", "title": "The Pragmatic Programmer", "author": "Hunt & Thomas"}]
+FIRST = [{"trial": "T-10", "title": "Aspirin in flu"}, {"trial": "T-11", "title": "Zinc in colds"}]
+SECOND = [{"trial": "T-20", "title": "Honey in cough"}]
 
 
-class Catalogue:
+class Registry:
     """A landing folder, its log and the stream's checkpoint."""
 
     def __init__(self, spark, folder):
         self.spark, self.folder = spark, folder
 
-    def land(self, page, books, at=T, **more):
-        body = json.dumps({"books": books, **more} if books is not None else more)
+    def land(self, page, trials, at=T, **more):
+        body = json.dumps({"trials": trials, **more} if trials is not None else more)
         frame = self.spark.createDataFrame([(page, at, body)], "page bigint, fetched_at timestamp, body string")
         land(frame.coalesce(1), str(self.folder / "landing"))
 
     def ingest(self, **options):
         paths = (str(self.folder / name) for name in ("landing", "log", "checkpoint"))
-        return ingest(self.spark, *paths, "books", "book_id", **options)
+        return ingest(self.spark, *paths, "trials", "trial", **options)
 
     def titles(self, **options):
         current = current_records(self.spark, str(self.folder / "log"), **options)
         return rows(current, "record_id", F.get_json_object("payload", "$.title"))
 
     def versions(self):
-        return self.spark.read.parquet(str(self.folder / "log"))
+        return self.spark.read.parquet(str(self.folder / "log")).where("not rejected")
+
+    def rejected(self):
+        return rows(rejected_records(self.spark, str(self.folder / "log")), "page", "pos", "reason")
+
+    def land_text(self, page, body, at=T):
+        frame = self.spark.createDataFrame([(page, at, body)], "page bigint, fetched_at timestamp, body string")
+        land(frame.coalesce(1), str(self.folder / "landing"))
 
 
 @pytest.fixture
-def catalogue(spark, tmp_path):
-    return Catalogue(spark, tmp_path)
+def registry(spark, tmp_path):
+    return Registry(spark, tmp_path)
 
 
-def book(key, title):
-    return {"book_id": key, "title": title}
+def trial(key, title):
+    return {"trial": key, "title": title}
 
 
-def test_fresh_run_takes_all_pages(catalogue):
-    catalogue.land(0, FIRST, nextPageToken="page-2-token")
-    catalogue.land(1, SECOND)
-    catalogue.ingest()
-    assert [key for key, _ in catalogue.titles()] == ["LC-001", "LC-002", "LC-003"]
-    table = raw_table(current_records(catalogue.spark, str(catalogue.folder / "log")), "book_id")
-    assert table.columns == ["book_id", "payload", "fetched_at"]
+def test_fresh_run_takes_all_pages(registry):
+    registry.land(0, FIRST, next="2")
+    registry.land(1, SECOND)
+    registry.ingest()
+    assert [key for key, _ in registry.titles()] == ["T-10", "T-11", "T-20"]
+    table = raw_table(current_records(registry.spark, str(registry.folder / "log")), "trial")
+    assert table.columns == ["trial", "payload", "fetched_at"]
 
 
-def test_next_run_takes_only_new_pages(catalogue):
-    catalogue.land(0, FIRST)
-    catalogue.ingest()
-    catalogue.land(1, SECOND)
-    catalogue.ingest()
-    per_batch = catalogue.versions().groupBy("batch_id").count()
+def test_next_run_takes_only_new_pages(registry):
+    registry.land(0, FIRST)
+    registry.ingest()
+    registry.land(1, SECOND)
+    registry.ingest()
+    per_batch = registry.versions().groupBy("batch_id").count()
     assert rows(per_batch) == [(0, 2), (1, 1)]
-    assert len(catalogue.titles()) == 3
+    assert len(registry.titles()) == 3
 
 
-def test_rerun_with_nothing_new_changes_nothing(catalogue):
-    catalogue.land(0, FIRST)
-    catalogue.ingest()
-    before = rows(catalogue.versions(), "record_id", "payload")
-    catalogue.ingest()
-    assert rows(catalogue.versions(), "record_id", "payload") == before
+def test_rerun_with_nothing_new_changes_nothing(registry):
+    registry.land(0, FIRST)
+    registry.ingest()
+    before = rows(registry.versions(), "record_id", "payload")
+    registry.ingest()
+    assert rows(registry.versions(), "record_id", "payload") == before
 
 
-def test_later_page_and_position_win(catalogue):
-    catalogue.land(0, [book("a", "old"), book("b", "first"), book("b", "second")])
-    catalogue.land(1, [book("a", "new")])
-    catalogue.ingest(files_per_batch=1)
-    assert catalogue.titles() == [("a", "new"), ("b", "second")]
+def test_later_page_and_position_win(registry):
+    registry.land(0, [trial("a", "old"), trial("b", "first"), trial("b", "second")])
+    registry.land(1, [trial("a", "new")])
+    registry.ingest(files_per_batch=1)
+    assert registry.titles() == [("a", "new"), ("b", "second")]
 
 
-def test_page_without_records(catalogue):
-    catalogue.land(0, None, nextPageToken="x")
-    catalogue.land(1, SECOND)
-    catalogue.ingest()
-    assert len(catalogue.titles()) == 1
+def test_page_without_records(registry):
+    registry.land(0, None, next="2")
+    registry.land(1, SECOND)
+    registry.ingest()
+    assert len(registry.titles()) == 1
 
 
-def test_crash_repeats_the_batch_without_loss_or_doubles(catalogue, monkeypatch):
+def test_crash_repeats_the_batch_without_loss_or_doubles(registry, monkeypatch):
     """The second micro-batch writes its records, then dies before it is committed."""
     from pyspark.sql import DataFrameWriter
 
-    catalogue.land(0, FIRST)
-    catalogue.ingest()
-    catalogue.land(1, SECOND)
+    registry.land(0, FIRST)
+    registry.ingest()
+    registry.land(1, SECOND)
     write = DataFrameWriter.parquet
 
     def write_then_fail(self, path, *args, **kwargs):
@@ -106,22 +110,22 @@ def test_crash_repeats_the_batch_without_loss_or_doubles(catalogue, monkeypatch)
 
     monkeypatch.setattr(DataFrameWriter, "parquet", write_then_fail)
     with pytest.raises(Exception, match="executor host lost"):
-        catalogue.ingest()
+        registry.ingest()
     monkeypatch.undo()
-    catalogue.ingest()
-    assert [key for key, _ in catalogue.titles()] == ["LC-001", "LC-002", "LC-003"]
-    assert catalogue.versions().count() == 3
+    registry.ingest()
+    assert [key for key, _ in registry.titles()] == ["T-10", "T-11", "T-20"]
+    assert registry.versions().count() == 3
 
 
-def test_snapshot_stands_for_the_batches_before_it(catalogue):
-    catalogue.land(0, [book("a", "old"), book("b", "kept")])
-    catalogue.ingest()
-    target = str(catalogue.folder / "snapshot")
-    current_records(catalogue.spark, str(catalogue.folder / "log")).write.parquet(target)
-    catalogue.land(1, [book("a", "new")])
-    catalogue.ingest()
-    snapshot = catalogue.spark.read.parquet(target)
-    assert catalogue.titles(snapshot=snapshot, after_batch=0) == catalogue.titles() == [("a", "new"), ("b", "kept")]
+def test_snapshot_stands_for_the_batches_before_it(registry):
+    registry.land(0, [trial("a", "old"), trial("b", "kept")])
+    registry.ingest()
+    target = str(registry.folder / "snapshot")
+    current_records(registry.spark, str(registry.folder / "log")).write.parquet(target)
+    registry.land(1, [trial("a", "new")])
+    registry.ingest()
+    snapshot = registry.spark.read.parquet(target)
+    assert registry.titles(snapshot=snapshot, after_batch=0) == registry.titles() == [("a", "new"), ("b", "kept")]
 
 
 def test_missing_list_is_empty(spark):
@@ -134,3 +138,60 @@ def test_keyset_is_exclusive_ascending_and_paged(spark):
     assert [r.k for r in after_key(records, "k", None, 2).collect()] == ["a", "b"]
     assert [r.k for r in after_key(records, "k", "b", 2).collect()] == ["c", "d"]
     assert after_key(records, "k", "d").isEmpty()
+
+
+BAD_PAGES = {
+    10: '{"trials": [{"trial": "T-30"}, {"tri',
+    11: '{"trials": {"trial": "T-31"}}',
+    12: "[1, 2]",
+    13: "",
+    14: None,
+    15: "no json",
+}
+
+
+def test_what_cannot_be_read_is_set_aside_with_its_reason(registry):
+    registry.land(0, FIRST)
+    registry.land(1, [{"title": "keyless"}, trial("T-12", "good"), {"trial": None, "title": "null key"}])
+    for page, body in BAD_PAGES.items():
+        registry.land_text(page, body)
+    registry.ingest()
+    assert [key for key, _ in registry.titles()] == ["T-10", "T-11", "T-12"]
+    assert registry.rejected() == [(1, 0, NO_KEY), (1, 2, NO_KEY), *((page, None, UNREADABLE_PAGE) for page in BAD_PAGES)]
+    # Accepted and rejected together are all that was landed: 5 records and 6 pages.
+    assert registry.versions().count() + len(registry.rejected()) == 11
+
+
+def test_a_job_can_stop_at_rejects(registry):
+    registry.land_text(0, "no json")
+    with pytest.raises(Exception, match="rejected"):
+        registry.ingest(rejects="fail")
+    assert registry.rejected() == [(0, None, UNREADABLE_PAGE)]
+    registry.ingest(rejects="keep")
+    assert registry.rejected() == [(0, None, UNREADABLE_PAGE)]
+
+
+def test_a_page_landed_again_replaces_the_former(registry):
+    for title in ("first", "second", "third"):
+        registry.land(0, [trial("a", title)])
+        registry.ingest()
+    assert registry.titles() == [("a", "third")]
+
+
+def test_snapshots_are_made_from_the_one_before_and_the_newer_batches(registry, monkeypatch):
+    log, snapshots = str(registry.folder / "log"), str(registry.folder / "snapshots")
+    registry.land(0, [trial("a", "old"), trial("b", "kept")])
+    registry.ingest()
+    compact(registry.spark, log, snapshots)
+    registry.land(1, [trial("a", "new"), trial("c", "more")])
+    registry.ingest()
+    second = compact(registry.spark, log, snapshots)
+    full = current_records(registry.spark, log)
+    columns = ("record_id", "payload", "page", "pos", "batch_id")
+    assert rows(second, *columns) == rows(full, *columns)
+    # Nothing new: the snapshot stands.
+    assert compact(registry.spark, log, snapshots).inputFiles() == second.inputFiles()
+    # The second one read batch 1 alone beside the first snapshot.
+    first = registry.spark.read.parquet(f"{snapshots}/upto={0:012d}")
+    read = current_records(registry.spark, log, first, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id#" in read and "> 0" in read

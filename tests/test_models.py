@@ -10,7 +10,7 @@ from conftest import application, rows, study, submission
 from pyspark.sql import functions as F
 
 from cohortline.operators import approval_by_application, latest_by_key
-from cohortline.plans import dashboards, serving
+from cohortline.plans import dashboards, insights, serving
 
 
 def digest(*fields) -> str:
@@ -104,7 +104,7 @@ def test_documents_and_events_give_the_same_applications(make_warehouse):
         ("4", None),
         ("5", True),
     ]
-    assert rows(serving.approvals_by_sponsor_class_year(w.application_status)) == [(2019, "a", 1)]
+    assert rows(serving.approvals_by_sponsor_class_year(w.applicant_years)) == [(2019, "a", 1)]
     assert rows(serving.top_sponsors_by_approval_count(w.application_status)) == [("a", 1), ("b", 1)]
 
 
@@ -278,7 +278,7 @@ def test_empty_registry_builds(make_warehouse):
     w = make_warehouse()
     w.build_all()
     assert w.metric_phase_transition.isEmpty() and w.metric_sponsor_cohorts.isEmpty()
-    scorecard = serving.trust_scorecard(w.condition_funnel, w.dim_condition, w.fct_trials)
+    scorecard = serving.pipeline_trust_scorecard(w.condition_funnel, w.dim_condition, w.fct_trials)
     assert rows(scorecard) == [(None, None, None, None, None)]
 
 
@@ -315,3 +315,28 @@ def test_latest_by_key_orders_by_time_page_and_position(spark):
     versions = [("a", 1, 0, 0), ("a", 1, 0, 1), ("a", 1, 1, 0), ("b", 2, 0, 0), ("b", 1, 9, 9)]
     frame = spark.createDataFrame(versions, "k string, fetched_at int, page int, pos int")
     assert rows(latest_by_key(frame, "k")) == [("a", 1, 1, 0), ("b", 2, 0, 0)]
+
+
+def test_page_defaults_leave_out_what_the_pages_leave_out(make_warehouse):
+    w = make_warehouse(
+        [
+            study("N1", sponsor="a", sponsor_class="FED", phases=["NA"], start="2000-01", end="2001-01"),
+            study("N2", sponsor="b", phases=["EARLY_PHASE1"], start="2000-01", end="2001-01"),
+            study("N3", sponsor="b", phases=["PHASE9"], start="2000-01", end="2001-01"),
+            *(study(f"P{k}", sponsor="c", phases=[f"Z{k}"], start="2000-01", end="2001-01") for k in range(4)),
+        ]
+    )
+    ranked = dashboards.league_ranked(w.dim_sponsor, w.workspace)
+    assert rows(ranked, "rank", "sponsor_name") == [(1, "a")]
+    assert dashboards.league_ranked(w.dim_sponsor, w.workspace, []).count() == 3
+    # None of the four usual phases exists: the first four labels are shown.
+    series = dashboards.duration_phase_series_truncated(w.metric_duration_trends_by_phase)
+    assert [phase for phase, *_ in rows(series)] == ["EARLY_PHASE1", "NA", "PHASE9", "Z0"]
+
+
+def test_an_extreme_without_a_condition_is_null(make_warehouse):
+    w = make_warehouse(
+        [study("N1", phases=["PHASE2"]), study("N2", phases=["PHASE2"], conditions=["Flu"]), study("N3", phases=["PHASE3"], conditions=["Flu"])]
+    )
+    band = insights.insight_phase2_band(w.condition_funnel, min_phase2_trials=1)
+    assert set(rows(band, "highest_condition", "lowest_condition")) == {("Flu", None)}

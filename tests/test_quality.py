@@ -88,13 +88,14 @@ APPLICATIONS = [application("1", "acme", [submission()]), application("2", "x",
 def test_refresh_publishes_and_exports(spark, make_warehouse, tmp_path):
     raw = make_warehouse(GOOD_STUDIES, APPLICATIONS)
     for run in (1, 2):
-        w = refresh(raw.raw_studies, raw.raw_applications, str(tmp_path / "out"))
-        log = spark.read.parquet(w.workspace.path("ops", "extraction_log"))
+        refresh(raw.raw_studies, raw.raw_applications, str(tmp_path / "out"))
+        log = spark.read.parquet(str(tmp_path / "out" / "ops" / "extraction_log"))
         assert rows(log, "model_name", "excluded_count") == [("stg_approvals", 2)] * run
     assert spark.table("marts.fct_trials").count() == 3
     assert spark.sql("select count(*) from metrics.metric_phase_transition where has_fda_approval").first()[0] == 3
     assert spark.table("stg_trial_conditions").count() == 3
-    exported = spark.read.option("header", True).csv(w.workspace.path("exports", "phase_funnel"))
+    assert spark.newSession().sql("select count(*) from staging.stg_trials").first()[0] == 3
+    exported = spark.read.option("header", True).csv(str(tmp_path / "out" / "exports" / "phase_funnel"))
     assert rows(exported, "condition_name", "phase2_trials", "approved_trials") == [("Flu", "3", "3")]
     assert len(list((tmp_path / "out" / "exports").iterdir())) == 8
 
@@ -113,12 +114,65 @@ def test_jobs_from_landed_pages_to_tables(spark, tmp_path):
         main(["ingest", "--source", source, *(part for name, path in at.items() for part in (f"--{name}", path))])
     logs = [f"--{source}-log={tmp_path / source / 'log'}" for source in listed]
     main(["refresh", *logs, f"--target={tmp_path / 'target'}"])
-    trials = spark.read.parquet(str(tmp_path / "target" / "marts" / "fct_trials"))
+    trials = spark.table("marts.fct_trials")
     assert rows(trials, "nct_id") == [("N0",), ("N1",), ("N2",)]
 
 
-def test_refresh_stops_at_the_first_broken_layer(make_warehouse, tmp_path):
-    raw = make_warehouse([*GOOD_STUDIES, study("N9", status="MYSTERY", results=True)], APPLICATIONS)
+STAGING = ("stg_trials", "stg_sponsors", "stg_trial_conditions", "stg_trial_interventions", "stg_approvals")
+
+
+def test_persisted_staging_equals_the_models(spark, make_warehouse, tmp_path):
+    raw = make_warehouse(GOOD_STUDIES, APPLICATIONS)
+    w = refresh(raw.raw_studies, raw.raw_applications, str(tmp_path / "out"))
+    for name in STAGING:
+        stored = spark.table(f"staging.{name}")
+        assert stored.columns == w.table(name).columns
+        assert rows(stored) == rows(w.table(name))
+
+
+def test_a_broken_run_leaves_what_is_published(spark, make_warehouse, tmp_path):
+    """A second run breaks a rule: tables and exports stay, and dependents are not built."""
+    out = tmp_path / "out"
+    good = make_warehouse(GOOD_STUDIES, APPLICATIONS)
+    refresh(good.raw_studies, good.raw_applications, str(out))
+    names = [row.tableName for row in spark.sql("show tables in marts").where("not isTemporary").collect()]
+    before = {name: rows(spark.table(f"marts.{name}")) for name in names}
+    exported = sorted((path.name, path.stat().st_mtime_ns) for path in (out / "exports").rglob("part-*"))
+    bad = make_warehouse([*GOOD_STUDIES, study("N9", status="MYSTERY", sponsor="New", results=True)], APPLICATIONS)
     with pytest.raises(quality.QualityError, match="stg_trials.overall_status"):
-        refresh(raw.raw_studies, raw.raw_applications, str(tmp_path / "out"))
-    assert not (tmp_path / "out" / "marts").exists()
+        refresh(bad.raw_studies, bad.raw_applications, str(out))
+    assert {name: rows(spark.table(f"marts.{name}")) for name in names} == before
+    assert sorted((path.name, path.stat().st_mtime_ns) for path in (out / "exports").rglob("part-*")) == exported
+    newest = sorted((out / "runs").iterdir())[-1]
+    built = {path.name for layer in ("marts", "metrics") for path in (newest / layer).glob("*")}
+    assert "fct_trials" not in built and "dim_sponsor" not in built and "fct_approvals" in built
+
+
+def test_a_partial_run_publishes_the_other_branches(spark, make_warehouse, tmp_path):
+    good = make_warehouse(GOOD_STUDIES, APPLICATIONS)
+    refresh(good.raw_studies, good.raw_applications, str(tmp_path / "out"))
+    bad_studies = [*GOOD_STUDIES, study("N9", status="MYSTERY", results=True)]
+    bad = make_warehouse(bad_studies, [*APPLICATIONS, application("7", "new", [submission()])])
+    with pytest.raises(quality.QualityError):
+        refresh(bad.raw_studies, bad.raw_applications, str(tmp_path / "out"), partial=True)
+    assert rows(spark.table("marts.fct_approvals"), "application_number") == [("1",), ("7",)]
+    assert spark.table("marts.fct_trials").count() == 3
+
+
+def test_input_below_the_target_and_old_runs(spark, make_warehouse, tmp_path):
+    out = str(tmp_path / "out")
+    raw = make_warehouse(GOOD_STUDIES, APPLICATIONS)
+    w = refresh(raw.raw_studies, raw.raw_applications, out)
+    for _ in range(2):
+        w = refresh(w.raw_studies, w.raw_applications, out, keep_runs=2)
+    assert spark.table("marts.fct_trials").count() == 3
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 2
+
+
+def test_unreadable_documents_are_counted_and_left_out(spark, make_warehouse, tmp_path):
+    bad = [("B1", '{"protocolSection": {'), ("B2", "[]"), ("B3", None)]
+    raw = make_warehouse([*GOOD_STUDIES, *bad], APPLICATIONS)
+    refresh(raw.raw_studies, raw.raw_applications, str(tmp_path / "out"), strict=False)
+    assert rows(spark.table("staging.stg_trials"), "nct_id") == [("N0",), ("N1",), ("N2",)]
+    log = spark.read.parquet(str(tmp_path / "out" / "ops" / "extraction_log"))
+    assert rows(log, "model_name", "excluded_count") == [("stg_approvals", 2), ("stg_trials", 3)]

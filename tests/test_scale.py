@@ -10,10 +10,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cohortline.operators import joins, latest_by_key, lookup, number_rows
+from cohortline.operators import latest_by_key, lookup, number_rows
 from cohortline.plans import marts
+from cohortline.plans.catalog import QUERIES
+from cohortline.plans.staging import stg_approvals
 from cohortline.sources import benchmark_tables
 from cohortline.sources.benchmark_tables import study_key
+from cohortline.sources.documents import parse_applications, study_columns
 from cohortline.warehouse import RAW
 from cohortline.workspace import shared_folder
 
@@ -71,8 +74,8 @@ def test_a_document_is_parsed_once(warehouse, name):
 
 
 def test_no_query_has_a_cross_join_or_python_in_its_plan(spark):
-    for name, query in entry.queries().items():
-        text = plan(query(spark, SF_DIR))
+    for name in QUERIES:
+        text = plan(entry.queries()[name](spark, SF_DIR))
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
             assert operator not in text, f"{operator} in {name}"
 
@@ -89,29 +92,32 @@ def test_small_lookups_leave_the_fact_unshuffled(warehouse):
         assert text.count("BroadcastHashJoin") == 1 and "Exchange hashpartitioning" not in text
 
 
-@pytest.fixture
-def small_bounds(monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
-
-
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_beyond_the_broadcast_bound(spark, workspace, setting, small_bounds, how):
-    """Hot keys with and without a match, a NULL key, rare keys: same rows as a plain join."""
-    keys = ["hot"] * 300 + ["unmatched"] * 300 + [None] * 300 + [f"k{i}" for i in range(20)]
-    fact = spark.createDataFrame([(i, k, "x") for i, k in enumerate(keys)], "id int, k string, c string")
-    names = ["hot", *(f"k{i}" for i in range(10))]
-    dimension = workspace.write(
-        spark.createDataFrame([(k, "x", f"v{k}") for k in names], "k string, c string, v string"), "dimension"
+def test_lookup_beyond_the_broadcast_bound(spark, tmp_path, setting, how):
+    """A hot key, NULLs and rare keys: one scan and one shuffle of the fact, hot partitions split."""
+    keys = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 997))
+    spark.range(300_000).select("id", keys.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("c")).write.parquet(
+        str(tmp_path / "fact")
     )
-    setting(autoBroadcastJoinThreshold="-1")
-    for on, right in (("k", dimension.drop("c")), (["k", "c"], dimension)):
-        joined = lookup(fact, right, on, how)
-        assert rows(joined, "id", "k", "c", "v") == rows(fact.join(right, on, how), "id", "k", "c", "v")
-        assert "BroadcastHashJoin" in plan(joined) and "SortMergeJoin" in plan(joined)
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    dimension = spark.createDataFrame([(k, f"v{k}") for k in ("hot", *(f"k{i}" for i in range(0, 997, 2)))], "k string, v string")
+    expected = fact.join(F.broadcast(dimension), "k", how).agg(F.count(F.lit(1)), F.sum(F.xxhash64("id", "v") % 1000)).first()
+    setting(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="200k",
+        adaptive__advisoryPartitionSizeInBytes="100k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        shuffle__partitions="16",
+    )
+    joined = lookup(fact, dimension, "k", how)
+    text = plan(joined)
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2
+    counted = joined.agg(F.count(F.lit(1)), F.sum(F.xxhash64("id", "v") % 1000))
+    assert counted.first() == expected
+    assert "skew=true" in plan(counted)
 
 
-def test_models_are_the_same_beyond_the_broadcast_bound(warehouse, setting, monkeypatch):
+def test_models_are_the_same_beyond_the_broadcast_bound(warehouse, setting):
     names = ("raw_studies", "raw_applications", "trial_funnel", "metric_phase_transition", "metric_sponsor_cohorts")
 
     def build():
@@ -122,11 +128,15 @@ def test_models_are_the_same_beyond_the_broadcast_bound(warehouse, setting, monk
 
     expected = build()
     setting(autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
     assert build() == expected
 
 
+def test_the_phase_metric_reads_its_trials_once_beyond_the_bound(warehouse, setting):
+    setting(autoBroadcastJoinThreshold="-1")
+    text = plan(warehouse.plan("metric_phase_transition"))
+    assert text.count("FileScan") == 2 and text.count("Exchange") == 2
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     records = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
@@ -153,15 +163,64 @@ def test_long_keys_keep_their_digits(spark):
     assert [r[0] for r in keys.collect()] == ["NCT00000007", "NCT123456789", "NCT123456780"]
 
 
-def test_documents_stay_small_when_one_order_holds_a_third_of_the_lines(spark, tmp_path):
-    folder = str(tmp_path)
-    for name in ("orders", "customer", "part"):
+def _with_hot_lines(spark, folder: str, **hot: int) -> None:
+    """The smallest tables with a quarter of the line items twice more, all of one key."""
+    for name in ("orders", "customer", "part", "supplier"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    hot = lines.crossJoin(spark.range(3)).drop("id").withColumn("l_orderkey", F.lit(1).cast("bigint"))
-    lines.unionByName(hot).write.parquet(f"{folder}/lineitem.parquet")
-    largest = benchmark_tables.raw_studies(spark, folder).agg(F.max(F.length("payload"))).first()[0]
-    assert largest < 100_000
+    more = lines.withColumns({name: F.lit(value).cast("bigint") for name, value in hot.items()})
+    lines.unionByName(more).unionByName(more).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_a_hot_order_makes_many_studies_and_loses_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    _with_hot_lines(spark, folder, l_orderkey=1)
+    raw = benchmark_tables.raw_studies(spark, folder)
+    assert raw.agg(F.max(F.length("payload"))).first()[0] < 250_000
+    assert raw.count() == raw.select("nct_id").distinct().count() > spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert_lossless(spark, folder)
+
+
+def test_a_hot_pair_makes_many_applications_and_loses_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    _with_hot_lines(spark, folder, l_suppkey=3, l_partkey=5)
+    raw = benchmark_tables.raw_applications(spark, folder)
+    assert raw.agg(F.max(F.length("payload"))).first()[0] < 500_000
+    assert_lossless(spark, folder)
+
+
+def assert_lossless(spark, folder: str) -> None:
+    """Outcomes and submissions are the line items, sites the orders' suppliers."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    studies = study_columns(benchmark_tables.raw_studies(spark, folder), "num_primary_outcomes", "num_sites")
+    outcomes, sites = studies.agg(F.sum("num_primary_outcomes"), F.sum("num_sites")).first()
+    listed = spark.read.parquet(f"{folder}/orders.parquet").where("o_orderkey % 10 <> 0").select("o_orderkey")
+    known = lines.join(spark.read.parquet(f"{folder}/orders.parquet"), F.col("o_orderkey") == F.col("l_orderkey"))
+    shown = lines.join(listed, F.col("o_orderkey") == F.col("l_orderkey"))
+    assert outcomes == known.count()
+    assert sites == shown.select("l_orderkey", "l_suppkey").distinct().count()
+    approvals = stg_approvals(parse_applications(benchmark_tables.raw_applications(spark, folder)))
+    assert approvals.count() == lines.count()
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_documents_keep_every_line_item(spark, size):
+    assert_lossless(spark, f"/root/testdata/{size}")
+
+
+@pytest.mark.parametrize(
+    "name, paths",
+    [
+        ("proj_json_path", {"briefTitle", "overallStatus"}),
+        ("fn_array_length", {"primaryOutcomes", "locations"}),
+        ("fn_array_join_nullif", {"phases"}),
+        ("fn_partial_date", {"startDateStruct", "completionDateStruct"}),
+    ],
+)
+def test_the_parser_is_given_only_the_paths_asked_for(warehouse, name, paths):
+    text = entry.queries()[name](warehouse.spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    read = set(re.findall(r"StructField\((\w+),", text))
+    assert paths <= read and not {"conditions", "interventions", "leadSponsor", "enrollmentInfo"} & read
 
 
 def test_shared_folder_is_the_sessions(spark):
