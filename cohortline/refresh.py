@@ -69,16 +69,21 @@ def refresh(
                 return False
         return True
 
+    def stop(name: str) -> None:
+        """The model and, models being listed after what they read, all that depend on it."""
+        stopped.add(name)
+        for other, model in MODELS.items():
+            if stopped.intersection(model.inputs):
+                stopped.add(other)
+
     for name in RAW:
         if not passes(name):
-            stopped.add(name)
+            stop(name)
     for name, model in MODELS.items():
-        if stopped.intersection(model.inputs):
-            stopped.add(name)
-            continue
-        w.table(name)
-        if model.layer in LAYERS and not passes(name):
-            stopped.add(name)
+        if name not in stopped:
+            w.table(name)
+            if model.layer in LAYERS and not passes(name):
+                stop(name)
     if failures and not partial:
         raise quality.QualityError("; ".join(failures))
 
