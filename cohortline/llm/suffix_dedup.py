@@ -38,7 +38,7 @@ from cohortline.llm.textscan import SpanHash, mix, texts_as_bytes
 
 LENGTH = 50
 GRAM = 16
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 PART_BYTES = 2 << 20
 INDEX_BITS = 20
 SHARD_BYTES = (1 << INDEX_BITS) - 1
@@ -103,16 +103,19 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, slots: np.ndarray) -> n
     follows &= (here > 0) & (other > 0) & (data[here - 1] == data[other - 1])
     heads = np.flatnonzero(~follows)
     shared = np.zeros(len(heads), np.int64)
+    # Neither suffix is longer than the later one.
+    limit = size - np.maximum(here[heads], other[heads])
     active = np.arange(len(heads))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # The eight bytes from each position on, the first in the lowest bits.
+    eights = np.ndarray((size + 1,), "<u8", padded, strides=(1,)).copy()
     while len(active):
-        a, b = here[heads[active]] + shared[active], other[heads[active]] + shared[active]
-        equal = (a < size) & (b < size)
-        a, b = np.minimum(a, size), np.minimum(b, size)
-        for k in range(8):
-            equal &= (a + k < size) & (b + k < size) & (padded[np.minimum(a + k, size)] == padded[np.minimum(b + k, size)])
-            shared[active] += equal
-        active = active[equal]
+        at = heads[active]
+        differ = eights[here[at] + shared[active]] ^ eights[other[at] + shared[active]]
+        lowest = differ & (~differ + np.uint64(1))
+        equal = np.where(differ == 0, 8, np.log2(np.maximum(lowest, 1).astype(np.float64)).astype(np.int64) >> 3)
+        shared[active] = np.minimum(shared[active] + equal, limit[active])
+        active = active[(differ == 0) & (shared[active] < limit[active])]
     head_of = np.maximum.accumulate(np.where(~follows, np.arange(len(here)), 0))
     place = np.cumsum(~follows) - 1
     lengths = np.zeros(size, np.int64)
