@@ -21,12 +21,12 @@ from cohortline.warehouse import Warehouse
 
 def src_raw_studies(w: Warehouse) -> DataFrame:
     path = "protocolSection.identificationModule.nctId"
-    documents = parsed(w.raw_studies, nested_schema([path], {})).where("doc is not null")
+    documents = parsed(w.raw_studies, nested_schema([path], {}))
     return documents.select("nct_id", "fetched_at", F.col(f"doc.{path}").alias("document_key"))
 
 
 def src_raw_applications(w: Warehouse) -> DataFrame:
-    documents = parsed(w.raw_applications, "application_number string").where("doc is not null")
+    documents = parsed(w.raw_applications, "application_number string")
     return documents.select("application_number", "fetched_at", F.col("doc.application_number").alias("document_key"))
 
 

@@ -23,16 +23,20 @@ def _distinct_present(items: Column, present) -> Column:
 _UNREAD = "_unread"
 
 
+def _readable() -> Column:
+    """Whether the payload is a whole JSON object; told without taking any field."""
+    whole = F.from_json("payload", f"{_UNREAD} string", {"columnNameOfCorruptRecord": _UNREAD})
+    return F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False)) & whole[_UNREAD].isNull()
+
+
 def parsed(raw: DataFrame, schema: str) -> DataFrame:
-    """The raw rows with their document as ``doc``; null where the payload is no such JSON object."""
-    doc = F.from_json("payload", f"{schema}, {_UNREAD} string", {"columnNameOfCorruptRecord": _UNREAD})
-    readable = F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False)) & F.col("doc")[_UNREAD].isNull()
-    return raw.withColumn("doc", doc).withColumn("doc", F.when(readable, F.col("doc").dropFields(_UNREAD)))
+    """The raw rows that can be read, with their document as ``doc``; its fields are taken once."""
+    return raw.where(_readable()).withColumn("doc", F.from_json("payload", schema))
 
 
 def unreadable(raw: DataFrame, schema: str) -> DataFrame:
     """Raw rows whose payload cannot be read; no model sees them, the audit log counts them."""
-    return parsed(raw, schema).where("doc is null").drop("doc")
+    return raw.where(~_readable())
 
 
 def nested_schema(paths: list[str], types: dict[str, str]) -> str:
@@ -98,7 +102,7 @@ STUDY_COLUMNS: dict[str, tuple[str, Callable[[Column], Column]]] = {
 def study_columns(raw_studies: DataFrame, *names: str) -> DataFrame:
     """Some columns of the studies; the parser is given the paths of these columns only."""
     schema = nested_schema([STUDY_COLUMNS[name][0] for name in names], _TYPES)
-    documents = parsed(raw_studies, schema).where("doc is not null")
+    documents = parsed(raw_studies, schema)
     read = (STUDY_COLUMNS[name][1](F.col(f"doc.{STUDY_COLUMNS[name][0]}")).alias(name) for name in names)
     return documents.select("nct_id", F.col("fetched_at").alias("source_fetched_at"), *read)
 
@@ -112,7 +116,7 @@ def parse_studies(raw_studies: DataFrame) -> DataFrame:
 
 def parse_applications(raw_applications: DataFrame) -> DataFrame:
     """One typed row per readable application document, submissions still nested."""
-    doc = parsed(raw_applications, APPLICATION_PAYLOAD).where("doc is not null")
+    doc = parsed(raw_applications, APPLICATION_PAYLOAD)
     submissions = F.transform(
         F.col("doc.submissions"),
         lambda s: F.struct(
