@@ -279,6 +279,19 @@ def test_scores_prefer_text_like_the_corpus(spark, documents):
     assert scored[0]["log_probability"] == pytest.approx(300 * scored[0]["mean_log_probability"])
 
 
+def test_words_beyond_the_broadcast_ones_have_their_own_shares(spark, documents, monkeypatch):
+    from cohortline.llm import lm_scoring
+
+    # Word k occurs about 1,500 / k times, so many of the words beyond the first 600 occur more than once.
+    words = [f"w{k}" for k in range(1, 1_500) for _ in range(1_500 // k)]
+    words = np.random.default_rng(1).permutation(words).tolist()
+    frame = documents(*((k, " ".join(words[k::40])) for k in range(40)), (40, "w601 w601"), (41, "w1400 w1400"))
+    whole = {r["doc_id"]: r["log_probability"] for r in lm_scoring.score(frame).collect()}
+    monkeypatch.setattr(lm_scoring, "KEPT_WORDS", 600)
+    fewer = {r["doc_id"]: r["log_probability"] for r in lm_scoring.score(frame).collect()}
+    assert fewer == pytest.approx(whole, rel=1e-4)
+
+
 def test_pipeline_stage_by_stage(spark, base):
     docs = table(spark, SF_DIR, "documents")
     columns = docs.columns
