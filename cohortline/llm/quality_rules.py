@@ -6,8 +6,16 @@ each statistic is chosen per stratum on labelled texts: walking from the most
 lenient grid value to stricter ones, a cutoff is accepted while the exact binomial
 test rejects "the share of good texts it would drop is above ``risk``". The walk
 stops at the first failure, so its grid needs no correction; the level is divided by
-the number of strata and statistics (Bonferroni). With few labels no cutoff can be
-certified and the statistic is not used there: then only the base rule drops texts.
+the number of families and statistics (Bonferroni).
+
+A stratum with labels enough to certify a cutoff is a family of its own. All others share
+one: the union of their labels or, if that is too small as well, the labels of all strata.
+The shared certificate bounds the share of good texts dropped of that union. Within it, a
+stratum whose own good labels contradict a shared cutoff (more than ``risk`` of them would
+go) gets the strictest one they allow; a stratum without labels takes the shared cutoffs.
+Families are formed by numbers of labels alone, so the tests stay valid. If even all
+labels together are too few, no cutoff can be certified at that risk, and only the base
+rule drops texts.
 
 Defined results: a null or empty text has no words and fails the base rule; a null
 stratum is a stratum of its own; repeated rows are judged one by one; labels without
@@ -142,8 +150,27 @@ def certified_cutoff(values: np.ndarray, counts: np.ndarray, risk: float, level:
     return cutoff
 
 
-def cutoffs(judged: DataFrame, risk: float, error: float) -> DataFrame:
-    """stratum, statistic, cutoff from labelled rows of (stratum, statistics, quality).
+def needed_labels(risk: float, level: float) -> int:
+    """Good labels with which a cutoff that drops none of them is certified."""
+    return int(np.ceil(log(level) / log(1 - risk)))
+
+
+def families(totals: dict[str, int], risk: float, error: float) -> tuple[list[str], float]:
+    """The strata that stand alone, as many as the correction allows, and the level of each test.
+
+    The family that the other strata share counts in the correction.
+    """
+    ranked = sorted(totals, key=lambda name: (-totals[name], name))
+    for alone in range(len(ranked), 0, -1):
+        level = error / ((alone + 1) * len(STATISTICS))
+        if totals[ranked[alone - 1]] >= needed_labels(risk, level):
+            return ranked[:alone], level
+    return [], error / len(STATISTICS)
+
+
+def cutoffs(judged: DataFrame, risk: float, error: float) -> tuple[DataFrame, dict[str, int]]:
+    """stratum, statistic, cutoff from labelled rows of (stratum, statistics, quality), and
+    the cutoffs of strata without labels, by statistic.
 
     Labelled texts are first counted per grid value, so a stratum and statistic has at
     most GRID + 1 rows whatever the number of texts.
@@ -155,16 +182,33 @@ def cutoffs(judged: DataFrame, risk: float, error: float) -> DataFrame:
     counted = Store(judged, "quality-rules").write(
         good.groupBy("stratum", "s.statistic", "s.value").agg(F.count(F.lit(1)).alias("n")), "histogram"
     )
-    strata = counted.agg(F.count_distinct("stratum")).first()[0]
-    level = error / max(1, strata * len(STATISTICS))
+    # Only strata that could stand alone come to the driver.
+    least = needed_labels(risk, error / len(STATISTICS))
+    labelled = counted.where(F.col("statistic") == STATISTICS[0]).groupBy("stratum").agg(F.sum("n").alias("n"))
+    alone, level = families({r["stratum"]: r["n"] for r in labelled.where(F.col("n") >= least).collect()}, risk, error)
+    rest = ~F.col("stratum").isin(alone) if alone else F.lit(True)
+    if (labelled.where(rest).agg(F.sum("n")).first()[0] or 0) < needed_labels(risk, level):
+        rest = F.lit(True)
+    # At most GRID + 1 rows a statistic.
+    pooled = counted.where(rest).groupBy("statistic", "value").agg(F.sum("n").alias("n")).toPandas()
+    shared = {}
+    for name in STATISTICS:
+        rows = pooled[pooled["statistic"] == name]
+        shared[name] = certified_cutoff(rows["value"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), risk, level)
 
     def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        value = certified_cutoff(rows["value"].to_numpy(), rows["n"].to_numpy(), risk, level)
-        return pd.DataFrame({"stratum": [key[0]], "statistic": [key[1]], "cutoff": [value]})
-
-    return counted.groupBy("stratum", "statistic").applyInPandas(
+        values, n = rows["value"].to_numpy(), rows["n"].to_numpy()
+        if key[0] in alone:
+            cutoff = certified_cutoff(values, n, risk, level)
+        else:
+            dropped = np.cumsum(np.bincount(values, n, minlength=GRID + 2)[::-1])[::-1]
+            cutoff = max(shared[key[1]], int(np.argmax(dropped <= risk * n.sum())))
+        return pd.DataFrame({"stratum": [key[0]], "statistic": [key[1]], "cutoff": [cutoff]})
+
+    chosen = counted.groupBy("stratum", "statistic").applyInPandas(
         choose, "stratum string, statistic string, cutoff int"
     )
+    return chosen, shared
 
 
 def judge(
@@ -178,8 +222,8 @@ def judge(
 ) -> DataFrame:
     """doc_id, the five counts, base_failed, kept and the statistics that rejected.
 
-    ``risk`` bounds the share of good texts that one statistic drops in a stratum, with
-    probability ``1 - error`` over all strata and statistics together.
+    ``risk`` bounds the share of good texts that one statistic drops in a family of strata,
+    with probability ``1 - error`` over all families and statistics together.
     """
     small_batches(documents)
     text_counts = arrow_udf(count_texts, ", ".join(f"{name} bigint" for name in COUNTS))
@@ -195,12 +239,12 @@ def judge(
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
     )
-    chosen = cutoffs(counted.where("not base_failed").join(known, "doc_id"), risk, error)
+    chosen, shared = cutoffs(counted.where("not base_failed").join(known, "doc_id"), risk, error)
     limits = chosen.groupBy("stratum").agg(
         *(F.max(F.when(F.col("statistic") == s, F.col("cutoff"))).alias(f"_{s}") for s in STATISTICS)
     )
     broken = F.filter(
-        F.array(*(F.when(F.col(f"statistics.{s}") >= F.col(f"_{s}"), F.lit(s)) for s in STATISTICS)),
+        F.array(*(F.when(F.col(f"statistics.{s}") >= F.coalesce(f"_{s}", F.lit(shared[s])), F.lit(s)) for s in STATISTICS)),
         lambda name: name.isNotNull(),
     )
     # One row per stratum; adaptive execution broadcasts it if its size allows, and else splits hot strata.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import LONG, ODD, SENTENCE
 
@@ -110,6 +111,20 @@ def test_accepted_keeps_null_ids_and_columns(documents):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_quality_rules_certify_small_strata_together(spark, documents):
+    def text(k, junk=""):
+        return " ".join(f"w{k}x{j}" + junk * (j % 5 == 0) for j in range(60))
+
+    # Each language alone has too few labels for the risk, both together have enough; "pl" has none.
+    good = [(k, text(k), "en" if k % 2 else "de", "web") for k in range(1_000)]
+    bad = [(2_000 + k, text(k, "##"), ("en", "de", "pl", None)[k % 4], "web") for k in range(8)]
+    clean = [(3_000, text(1), "pl", "web"), (3_001, text(1), None, "web")]
+    labels = spark.createDataFrame([(row[0], int(row[0] < 1_000)) for row in good + bad], "doc_id bigint, quality int")
+    found = by_id(quality_rules.judge(documents(*good, *bad, *clean), labels), "base_failed", "kept", "broken_rules")
+    assert all(found[row[0]] == (False, False, found[row[0]][2]) and "symbol_ratio" in found[row[0]][2] for row in bad)
+    assert np.mean([found[row[0]][1] for row in good]) > 0.99
+
+
 def test_near_dedup_of_ties(documents):
     frame = documents(*ODD, (11, "two words"), (12, "Two  WORDS"), (13, "other words"))
     found = by_id(near_dedup.link(frame), "n_shingles", "component_id", "kept")
