@@ -6,13 +6,17 @@
 3. Address suffix and 4. host: prior language shares, smoothed hierarchically (all rows
    -> suffix -> host), from grouped counts over all rows.
 
+The languages are the declared values that ``MIN_DECLARED`` rows or more have; a background
+hypothesis, ``other``, with uniform trigrams and priors of its own, stands for every other
+language and for junk, and what it wins is not kept.
+
 The log-likelihood of a text, tempered because neighbouring trigrams depend on each
 other, is added to the logs of the other terms; the posterior picks the language.
 
 Defined results: a null or empty text, or one without letters, gives no text evidence,
-is called ``und`` and is not kept; a missing or unlisted declaration is a declaration
-value of its own; a null host or suffix is a host or suffix like any other; ties go to
-the language listed first; repeated rows are judged one by one and counted each time;
+is called ``und`` and is not kept; declarations are compared by their first letters in
+lower case (``en-GB`` is ``en``); a missing or rare one is a declaration value of its own; a null host or suffix is a host or suffix like any other; ties go to
+the language listed first, the background last; without declarations all is ``other``; repeated rows are judged one by one and counted each time;
 an empty table gives an empty result; extra columns are ignored. A null key is a key.
 """
 
@@ -30,7 +34,9 @@ from pyspark.sql.functions import arrow_udf
 from cohortline.llm.store import Store, small_batches
 from cohortline.llm.textscan import LOWER, Block, blocks, byte_class
 
-LANGUAGES = ("de", "en", "es", "fr")
+OTHER = "other"
+# Rows that must declare a value for it to be a language.
+MIN_DECLARED = 5
 BUCKETS = 1 << 14
 TEMPER = 1 / 3
 PRIOR_ROWS = 20.0
@@ -59,6 +65,13 @@ def trigrams(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return bucket.astype(np.int64), valid
 
 
+def declared_languages(documents: DataFrame, declared: Column) -> list[str]:
+    """The values that enough rows declare, by name."""
+    counted = documents.groupBy(declared.alias("declared")).agg(F.count(F.lit(1)).alias("n"))
+    listed = counted.where((F.col("n") >= MIN_DECLARED) & (F.col("declared") != OTHER))
+    return sorted(row["declared"] for row in listed.collect())
+
+
 def trigram_counts(documents: DataFrame, declared: Column, text: str, languages: Sequence[str]) -> np.ndarray:
     """Trigram counts per language over all texts declared to be in it.
 
@@ -131,19 +144,33 @@ def identify(
     declared: Column | None = None,
     host: Column | None = None,
     suffix: Column | None = None,
-    languages: Sequence[str] = LANGUAGES,
+    languages: Sequence[str] | None = None,
     accept: float = ACCEPT,
 ) -> DataFrame:
-    """key, language, probability, text_language, declared, letters, kept for every row."""
-    size, names = len(languages), F.array(*map(F.lit, languages))
+    """key, language, probability, text_language, declared, letters, kept for every row.
+
+    Languages that are not given are those declared.
+    """
     none = F.lit(None).cast("string")
     declared, host, suffix = (none if part is None else part for part in (declared, host, suffix))
     small_batches(documents)
-    logs = log_likelihoods(trigram_counts(documents, declared, text, languages))
+    spoken = F.nullif(F.lower(F.regexp_extract(declared, "^[ ]*([A-Za-z]+)", 1)), F.lit(""))
+    if languages is None:
+        listed = declared_languages(documents, spoken)
+        counts = trigram_counts(documents, spoken, text, listed) if listed else np.zeros((0, BUCKETS))
+        # A value declared for empty texts alone tells nothing.
+        languages, counts = [name for name, n in zip(listed, counts.sum(1), strict=True) if n], counts[counts.sum(1) > 0]
+    else:
+        counts = trigram_counts(documents, spoken, text, languages)
+    background = np.full((1, BUCKETS), -np.log(BUCKETS), np.float32)
+    logs = np.concatenate([log_likelihoods(counts), background])
+    languages = [*languages, OTHER]
+    size, names = len(languages), F.array(*map(F.lit, languages))
     store = Store(documents, "language-id")
     read = documents.select(
         F.col(key).alias("key"),
         declared.alias("declared"),
+        spoken.alias("spoken"),
         # A prefix keeps null apart from any string.
         *(F.coalesce(F.concat(F.lit("="), part), F.lit("")).alias(name) for name, part in (("host", host), ("suffix", suffix))),
         _text_evidence(logs)(F.col(text)).alias("found"),
@@ -157,7 +184,7 @@ def identify(
             "suffix",
             F.element_at("found", 1).cast("long").alias("letters"),
             F.slice("found", 2, size).alias("logs"),
-            F.coalesce(F.array_position(names, F.col("declared")), F.lit(0)).cast("int").alias("said"),
+            F.coalesce(F.array_position(names, F.nullif(F.col("spoken"), F.lit(OTHER))), F.lit(0)).cast("int").alias("said"),
         )
         # 1..n for what the text tells best, null where it tells nothing.
         .withColumn("told", F.when(F.col("letters") > 0, 1 - told_by_text["place"])),
@@ -215,7 +242,7 @@ def identify(
         F.coalesce(F.get(names, F.col("told") - 1), F.lit("und")).alias("text_language"),
         "declared",
         "letters",
-        (known & (probability >= accept)).alias("kept"),
+        (known & (probability >= accept) & (F.col("place") < size - 1)).alias("kept"),
     )
 
 

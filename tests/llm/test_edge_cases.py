@@ -103,6 +103,23 @@ def test_language_of_texts_without_letters(documents):
     assert found[6] == ("en", True)
 
 
+def test_language_is_declared_or_other(documents):
+    def texts(syllables, size=60):
+        random = np.random.default_rng(len(syllables))
+        return [" ".join("".join(random.choice(syllables, 3)) for _ in range(200)) for _ in range(size)]
+
+    spoken = {"it": ("la", "zio", "che", "gli", "re"), "en": ("the", "ing", "wh", "ou", "st", "ea")}
+    rows = [(1_000 * k + j, text, tag, "web") for k, tag in enumerate(spoken) for j, text in enumerate(texts(spoken[tag]))]
+    foreign = "市立图书馆除星期一外每天开放，星期一工作人员整理读者归还的图书。" * 5
+    junk = "xqzv wkjp zzxq vbnmk qwrtp lkjfd fdsxz pqowz mnbvq xcvlk jkgfd rtwqz pplkm bvcxw zqqkj " * 3
+    more = [(5_000, foreign, None, "web"), (5_001, junk, "en", "web"), (5_002, texts(spoken["it"])[0], "IT-it", "web"), (5_003, "", "other", "web")]
+    frame = documents(*rows, *more)
+    found = by_id(language_id.identify(frame, declared=frame["lang"], host=frame["source"]), "language", "kept")
+    assert found[5_000] == ("other", False) and found[5_001] == ("other", False)
+    assert found[5_002] == ("it", True) and found[5_003] == ("und", False)
+    assert all(found[row[0]] == (row[2], True) for row in rows)
+
+
 def test_accepted_keeps_null_ids_and_columns(documents):
     frame = documents(*ODD)
     decisions = language_id.identify(frame, declared=frame["lang"], host=frame["source"])
