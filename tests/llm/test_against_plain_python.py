@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from corpus import SF_DIR
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import LONG, ODD, SENTENCE
+from corpus import LONG, ODD, SENTENCE
 
 import corpus_pipeline
 from cohortline.llm import (
@@ -121,11 +121,17 @@ def test_language_is_declared_or_other(documents):
 
 
 def test_accepted_keeps_null_ids_and_columns(documents):
-    frame = documents(*ODD)
+    # English enough for the text without an id to be told from the background.
+    short = [row for row in ODD if len(row[1] or "") < 1_000]
+    english = [(100 + k, f"a text that goes on for {word} while, with words enough to count without an end", "en", "web") for k, word in enumerate(SENTENCE.split())]
+    frame = documents(*short, *english)
     decisions = language_id.identify(frame, declared=frame["lang"], host=frame["source"])
     kept = language_id.accepted(frame, decisions)
     assert kept.columns == frame.columns
+    # A null id is an id: both rows stay, since one of them is accepted.
     assert kept.where("doc_id is null").count() == 2
+    refused = language_id.accepted(frame, decisions.withColumn("kept", decisions["doc_id"].isNotNull() & decisions["kept"]))
+    assert refused.where("doc_id is null").count() == 0
 
 
 def test_quality_rules_certify_small_strata_together(spark, documents):
