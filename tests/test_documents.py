@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import application, rows, study, submission
+from registry import application, rows, study, submission
 from pyspark.errors import PySparkException
 
 D = datetime.date

@@ -4,7 +4,7 @@ import datetime
 import json
 
 import pytest
-from conftest import rows
+from registry import rows
 from pyspark.sql import functions as F
 
 from cohortline.sources.pages import NO_KEY, UNREADABLE_PAGE, after_key, unpack_pages

@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from hashlib import md5
 
 import pytest
-from conftest import application, rows, study, submission
+from registry import application, rows, study, submission
 from pyspark.sql import functions as F
 
 from cohortline.operators import approval_by_application, latest_by_key

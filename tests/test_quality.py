@@ -4,7 +4,7 @@ import datetime
 import json
 
 import pytest
-from conftest import application, rows, study, submission
+from registry import application, rows, study, submission
 from pyspark.sql import functions as F
 
 from cohortline.__main__ import main

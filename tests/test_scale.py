@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import rows
+from registry import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
