@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import decontaminate, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, warc
+from cohortline.llm import decontaminate, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, sharding, spelling, suffix_dedup, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -87,5 +99,12 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_sharding": op13_sharding,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op13_sharding": sharding.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE_SQL}

@@ -50,7 +50,10 @@ class Block:
 
     def runs(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of maximal runs of bytes of a class, none across texts."""
-        inside = members[self.data]
+        return self.runs_where(members[self.data])
+
+    def runs_where(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of maximal runs of chosen bytes, none across texts."""
         size = len(inside)
         edges = self.offsets[self.offsets < size]
         new = inside.copy()
