@@ -11,8 +11,7 @@ import argparse
 from cohortline.refresh import refresh
 from cohortline.session import build_session
 from cohortline.sources.pages import APPLICATIONS, STUDIES
-from cohortline.streaming.ingest import compact, ingest, raw_table
-from cohortline.workspace import prune
+from cohortline.streaming.ingest import ingest, merge_log, raw_table, record_store, trim_log
 
 SOURCES = {source.name: source for source in (STUDIES, APPLICATIONS)}
 
@@ -32,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--skip-rules", action="store_true")
     build.add_argument("--partial", action="store_true", help="publish the branches that pass their rules")
     build.add_argument("--keep-runs", type=int, default=2)
+    build.add_argument("--trim-logs", action="store_true", help="delete the batches that the record stores hold")
     return root
 
 
@@ -51,11 +51,12 @@ def main(arguments: list[str] | None = None) -> None:
             options.rejects,
         )
         return
-    # The snapshot of a log is made from the one before and the batches since, and is the raw table.
-    tables = {
-        source: raw_table(compact(spark, log, f"{options.target}/snapshots/{source.name}"), source.key_name)
-        for source, log in ((STUDIES, options.studies_log), (APPLICATIONS, options.applications_log))
-    }
+    # New batches are merged into the store of their source, whose records are the raw table.
+    logs = {STUDIES: options.studies_log, APPLICATIONS: options.applications_log}
+    stores = {source: record_store(spark, f"{options.target}/records/{source.name}") for source in logs}
+    for source, log in logs.items():
+        merge_log(spark, log, stores[source])
+    tables = {source: raw_table(store.read(), source.key_name) for source, store in stores.items()}
     refresh(
         tables[STUDIES],
         tables[APPLICATIONS],
@@ -65,8 +66,10 @@ def main(arguments: list[str] | None = None) -> None:
         keep_runs=options.keep_runs,
         copy_raw=False,
     )
-    for source in tables:
-        prune(spark, f"{options.target}/snapshots/{source.name}", options.keep_runs)
+    for source, store in stores.items():
+        store.vacuum(options.keep_runs)
+        if options.trim_logs:
+            trim_log(spark, logs[source], store)
 
 
 if __name__ == "__main__":

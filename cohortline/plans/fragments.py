@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from cohortline import functions as fn
 from cohortline import operators as op
+from cohortline.keyed import KeyedStore
+from cohortline.operators.dedupe import ARRIVAL
 from cohortline.plans import dashboards, exports, insights, marts, metrics, quality, serving, staging
 from cohortline.sinks.csv import write_csv
-from cohortline.sinks.layers import append_audit, publish_staging, publish_tables, read_audit
+from cohortline.sinks.layers import append_audit, publish_staging, read_audit
+from cohortline.sinks.published import open_run, publish_run
 from cohortline.sources import pages
 from cohortline.sources.benchmark_tables import event_pages, event_records
 from cohortline.sources.documents import nested_schema, parsed, study_columns
+from cohortline.sources.live import live_marts
 from cohortline.streaming import ingest as streams
 from cohortline.warehouse import Warehouse
 
@@ -51,16 +55,22 @@ def ingest_keyset_filter(w: Warehouse) -> DataFrame:
 
 
 def ingest_upsert(w: Warehouse) -> DataFrame:
+    """Two deliveries merged into the keyed store one after the other."""
     records = event_records(w.spark, w.sf_dir)
     late = F.pmod("page", F.lit(2)) == 1
-    return op.upsert(records.where(~late), records.where(late), "record_id")
+    store = KeyedStore(w.spark, w.workspace.fresh("keyed"), "record_id", records.schema, buckets=8)
+    store.merge(records.where(~late), ARRIVAL)
+    store.merge(records.where(late), ARRIVAL)
+    return store.read()
 
 
 def ingest_incremental(w: Warehouse) -> DataFrame:
     landing, log = w.workspace.fresh("landing"), w.workspace.fresh("log")
     streams.land(event_pages(w.spark, w.sf_dir), landing)
     streams.ingest(w.spark, landing, log, w.workspace.fresh("stream"), "studies", "user")
-    return streams.current_records(w.spark, log).select(
+    store = streams.record_store(w.spark, w.workspace.fresh("records"), buckets=8)
+    streams.merge_log(w.spark, log, store)
+    return store.read().select(
         "record_id",
         F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"),
         "fetched_at",
@@ -91,10 +101,38 @@ def sink_view(w: Warehouse) -> DataFrame:
 
 
 def sink_table(w: Warehouse) -> DataFrame:
-    publish_tables(w, "marts")
-    return serving.run_query(
-        w.spark, "SELECT phase, count(*) AS trial_count FROM marts.fct_trials GROUP BY phase"
-    )
+    """All tables published at once, one read from the run that the manifest names."""
+    folder = w.workspace.fresh("published")
+    publish_run(w, folder, 0)
+    return open_run(w.spark, folder).sql("SELECT phase, count(*) AS trial_count FROM {fct_trials} GROUP BY phase")
+
+
+def serve_answer(w: Warehouse) -> DataFrame:
+    """The kept answer to a statement over the published tables, from its second reading on."""
+    folder = w.workspace.fresh("published")
+    publish_run(w, folder, 0)
+    statement = "SELECT overall_status, count(*) AS trial_count FROM {fct_trials} WHERE phase IS NOT NULL GROUP BY overall_status"
+    open_run(w.spark, folder).answer(statement)
+    return open_run(w.spark, folder).answer(statement)
+
+
+# Tables kept up to date from changes
+
+
+def live_fct_trials(w: Warehouse) -> DataFrame:
+    return live_marts(w).fct_trials
+
+
+def live_bridge_trial_condition(w: Warehouse) -> DataFrame:
+    return live_marts(w).bridge_trial_condition
+
+
+def live_condition_funnel(w: Warehouse) -> DataFrame:
+    return live_marts(w).condition_funnel.drop("trial_count", "multi_condition_trials", "matched_trials")
+
+
+def live_metric_phase_transition(w: Warehouse) -> DataFrame:
+    return live_marts(w).metric_phase_transition
 
 
 def sink_csv(w: Warehouse) -> DataFrame:

@@ -62,8 +62,8 @@ def fda_sponsors(application_status: DataFrame) -> DataFrame:
     )
 
 
-def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFrame:
-    """One row per trial with its representative condition, stages and applicant match.
+def trial_stages(studies_parsed: DataFrame) -> DataFrame:
+    """One row per trial with its representative condition and stages, as its document tells them.
 
     The representative is the condition with the smallest key. It is picked inside
     the row, because a document lists all conditions of its trial.
@@ -78,8 +78,7 @@ def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFram
         "phase",
         "sponsor_name",
     )
-    approvals = fda_sponsors.select("sponsor_name_norm", "has_fda_approval")
-    return match_by_name(trials, approvals, "sponsor_name", "sponsor_name_norm").select(
+    return trials.select(
         "nct_id",
         F.col("first.key").alias("condition_key"),
         F.col("first.name").alias("condition_name"),
@@ -90,18 +89,40 @@ def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFram
         is_combined_phase(F.col("phase"), "PHASE2").alias("is_phase2"),
         is_combined_phase(F.col("phase"), "PHASE3").alias("is_phase3"),
         "sponsor_name",
+    )
+
+
+def with_applicants(trial_stages: DataFrame, fda_sponsors: DataFrame) -> DataFrame:
+    """The trials with the match of their sponsor among the applicants."""
+    approvals = fda_sponsors.select("sponsor_name_norm", "has_fda_approval")
+    return match_by_name(trial_stages, approvals, "sponsor_name", "sponsor_name_norm").select(
+        *trial_stages.columns,
         F.col("matched").alias("matched_to_fda"),
         F.coalesce("has_fda_approval", F.lit(False)).alias("has_fda_approval"),
     )
 
 
-def condition_funnel(trial_funnel: DataFrame) -> DataFrame:
-    """Stage volumes and their ratios per representative condition, NULL included."""
+def trial_funnel(studies_parsed: DataFrame, fda_sponsors: DataFrame) -> DataFrame:
+    """One row per trial with its representative condition, stages and applicant match."""
+    return with_applicants(trial_stages(studies_parsed), fda_sponsors)
+
+
+def with_rates(volumes: DataFrame) -> DataFrame:
+    """Stage volumes with their ratios."""
     phase2, phase3 = F.col("condition_phase2_trials"), F.col("condition_phase3_trials")
     approved = F.col("condition_approved_trials")
-    return (
-        trial_funnel.groupBy("condition_name")
-        .agg(
+    return volumes.select(
+        "*",
+        ratio(phase3, phase2).alias("phase2_to_phase3_rate"),
+        ratio(approved, phase3).alias("phase3_to_approval_rate"),
+        ratio(approved, phase2).alias("phase2_to_approval_rate"),
+    )
+
+
+def condition_funnel(trial_funnel: DataFrame) -> DataFrame:
+    """Stage volumes and their ratios per representative condition, NULL included."""
+    return with_rates(
+        trial_funnel.groupBy("condition_name").agg(
             row_count().alias("trial_count"),
             F.count_if("multi_condition_flag").alias("multi_condition_trials"),
             F.count_if("matched_to_fda").alias("matched_trials"),
@@ -109,12 +130,6 @@ def condition_funnel(trial_funnel: DataFrame) -> DataFrame:
             F.count_if("is_phase3").alias("condition_phase3_trials"),
             F.count_if(F.col("matched_to_fda") & F.col("has_fda_approval")).alias("condition_approved_trials"),
         )
-        .select(
-            "*",
-            ratio(phase3, phase2).alias("phase2_to_phase3_rate"),
-            ratio(approved, phase3).alias("phase3_to_approval_rate"),
-            ratio(approved, phase2).alias("phase2_to_approval_rate"),
-        )
     )
 
 

@@ -12,9 +12,10 @@ from cohortline.plans import quality, staging
 from cohortline.schemas import APPLICATION_PAYLOAD, STUDY_PAYLOAD
 from cohortline.sinks.csv import export_all
 from cohortline.sinks.layers import append_audit, publish_staging, publish_tables, register_views
+from cohortline.sinks.published import forget_runs, manifests, publish_run
 from cohortline.sources.documents import unreadable
 from cohortline.warehouse import LAYERS, MODELS, RAW, Warehouse
-from cohortline.workspace import Workspace, prune
+from cohortline.workspace import Workspace
 
 
 def check_models(w: Warehouse, models: list[str], stopped: Collection[str] = ()) -> None:
@@ -45,11 +46,14 @@ def refresh(
     and exports keep showing the former run. A model that breaks a rule stops those that
     read it; other branches are built and checked on. If any rule is broken the run raises
     at the end, having published nothing, or with ``partial`` the branches that passed
-    (without exports). ``strict=False`` skips the rules. Runs beyond the newest
+    (without exports). All tables are switched by one manifest (``sinks.published``), which
+    fails with ``manifest.Conflict`` if another run has published meanwhile; tables of the
+    catalog, views and exports follow it. ``strict=False`` skips the rules. Runs beyond the newest
     ``keep_runs`` are deleted after publishing. ``copy_raw=False`` reads stored raw
     tables in place, as the jobs do with their snapshots.
     """
     spark = raw_studies.sparkSession
+    since = manifests(spark, folder).newest()[0]
     run = f"{time.time_ns() // 1_000_000:014d}-{uuid.uuid4().hex[:6]}"
     workspace = Workspace(spark, f"{folder}/runs/{run}")
     if copy_raw:
@@ -88,6 +92,7 @@ def refresh(
         raise quality.QualityError("; ".join(failures))
 
     passed = set(MODELS) - stopped
+    publish_run(w, folder, since, passed)
     log = f"{folder}/ops/extraction_log"
     append_audit(staging.excluded_documents(unreadable(w.raw_studies, STUDY_PAYLOAD), "stg_trials"), log)
     append_audit(staging.excluded_documents(unreadable(w.raw_applications, APPLICATION_PAYLOAD), "stg_approvals"), log)
@@ -100,5 +105,5 @@ def refresh(
     if failures:
         raise quality.QualityError("; ".join(failures))
     export_all(w, f"{folder}/exports")
-    prune(spark, f"{folder}/runs", keep_runs)
+    forget_runs(spark, folder, keep_runs)
     return w

@@ -158,6 +158,14 @@ def _statements() -> dict[str, str]:
           from raw_applications r
           where not exists (select 1 from submissions s where s.application_number = r.application_number)""",
         "sink_view": "select overall_status, count(*) as trial_count from stg_trials group by all",
+        "serve_answer": """select overall_status, count(*) as trial_count from fct_trials
+          where phase is not null group by all""",
+        "live_fct_trials": "select * from fct_trials",
+        "live_bridge_trial_condition": "select * from bridge_trial_condition",
+        "live_condition_funnel": """select distinct condition_name, condition_phase2_trials, condition_phase3_trials,
+          condition_approved_trials, phase2_to_phase3_rate, phase3_to_approval_rate, phase2_to_approval_rate
+          from metric_phase_transition""",
+        "live_metric_phase_transition": "select * from metric_phase_transition",
         "sink_table": "select phase, count(*) as trial_count from fct_trials group by all",
         "sink_csv": f"""select * replace ({class_label("sponsor_class")} as sponsor_class)
           from (select {LEAGUE} from dim_sponsor)""",

@@ -8,7 +8,7 @@ from registry import rows
 from pyspark.sql import functions as F
 
 from cohortline.sources.pages import NO_KEY, UNREADABLE_PAGE, after_key, unpack_pages
-from cohortline.streaming.ingest import compact, current_records, ingest, land, raw_table, rejected_records
+from cohortline.streaming.ingest import compact, current_records, ingest, land, merge_log, raw_table, record_store, rejected_records, trim_log
 
 T = datetime.datetime(2024, 1, 1)
 FIRST = [{"trial": "T-10", "title": "Aspirin in flu"}, {"trial": "T-11", "title": "Zinc in colds"}]
@@ -195,3 +195,28 @@ def test_snapshots_are_made_from_the_one_before_and_the_newer_batches(registry,
     first = registry.spark.read.parquet(f"{snapshots}/upto={0:012d}")
     read = current_records(registry.spark, log, first, 0)._jdf.queryExecution().executedPlan().toString()
     assert "batch_id#" in read and "> 0" in read
+
+
+def test_batches_are_merged_into_the_buckets_they_touch(registry):
+    log = str(registry.folder / "log")
+    store = record_store(registry.spark, str(registry.folder / "store"), 8)
+    registry.land(0, [trial(f"T-{n}", "old") for n in range(40)])
+    registry.ingest()
+    assert merge_log(registry.spark, log, store) == 1
+    before = store.manifests.newest()[1]["files"]
+    registry.land(1, [{"title": "keyless"}, trial("T-3", "new")])
+    registry.ingest()
+    assert merge_log(registry.spark, log, store) == 2
+    # Nothing new: nothing is written.
+    assert merge_log(registry.spark, log, store) == 2
+    after = store.manifests.newest()[1]["files"]
+    assert sum(after[bucket] != path for bucket, path in before.items()) == 1
+    columns = ("record_id", "payload", "page", "pos", "batch_id")
+    assert rows(store.read(), *columns) == rows(current_records(registry.spark, log), *columns)
+    # Batches that the store holds may go, and later ones are merged on.
+    trim_log(registry.spark, log, store)
+    assert store.manifests.folders(log) == []
+    registry.land(2, [trial("T-4", "newer")])
+    registry.ingest()
+    merge_log(registry.spark, log, store)
+    assert store.read().count() == 40 and store.progress == 2
