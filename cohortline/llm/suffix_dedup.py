@@ -40,6 +40,8 @@ LENGTH = 50
 GRAM = 16
 BUCKET_BYTES = 2 << 20
 PART_BYTES = 2 << 20
+# Windows that a part merges at once; those of one anchor stay together.
+SLICE_WINDOWS = 1 << 19
 INDEX_BITS = 20
 SHARD_BYTES = (1 << INDEX_BITS) - 1
 _INDEX = np.uint64((1 << INDEX_BITS) - 1)
@@ -369,13 +371,71 @@ def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     return one, two
 
 
-def merge_records(blobs: list[bytes]) -> list[bytes]:
-    """Marked starts of each bucket's records: windows that start in a smaller document too."""
+def _stretches_by_anchor(anchors: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Stretches in slices of about ``SLICE_WINDOWS`` windows, those of one anchor together."""
+    order = np.argsort(anchors, kind="stable")
+    heads = np.flatnonzero(np.append(True, anchors[order][1:] != anchors[order][:-1])) if len(order) else order
+    before = np.concatenate([[0], np.cumsum(counts[order])])[heads]
+    cuts = np.append(True, before[1:] // SLICE_WINDOWS != before[:-1] // SLICE_WINDOWS) if len(heads) else heads
+    return np.split(order, heads[np.flatnonzero(cuts)][1:])
+
+
+def _row_chunks(counts: np.ndarray) -> list[tuple[int, int]]:
+    """Neighbouring stretches of about ``SLICE_WINDOWS`` windows together."""
+    total = np.cumsum(counts)
+    cuts = np.searchsorted(total, np.arange(SLICE_WINDOWS, int(total[-1]), SLICE_WINDOWS)) if len(counts) else []
+    cuts = np.unique(np.concatenate([[0], cuts, [len(counts)]])).astype(np.int64).tolist()
+    return list(zip(cuts, cuts[1:]))
+
+
+def _join_runs(ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> bytes:
+    """Runs of marked starts, those that follow each other in a document made one."""
+    heads = np.append(True, (ids[1:] != ids[:-1]) | (first[1:] != last[:-1] + 1)) if len(ids) else np.zeros(0, bool)
+    at = np.flatnonzero(heads)
+    return _pack(ids=ids[at], first=first[at], last=last[np.append(at[1:], len(ids)) - 1] if len(at) else last)
+
+
+def merge_records(blobs: list) -> list[bytes]:
+    """Marked starts of each bucket's records: windows that start in a smaller document too.
+
+    Equal windows have equal anchors, so stretches are merged a slice of anchors at a time;
+    only the slice's texts are copied, and marks are kept as runs.
+    """
     unpacked = [_unpack(blob, *_RECORDS) for blob in blobs]
-    anchors, ids, _, lead, windows, _ = (np.concatenate([one[k] for one in unpacked]) for k in range(6))
-    data = np.concatenate([one[5] for one in unpacked])
+    anchors, ids, places, lead, windows = (np.concatenate([one[k] for one in unpacked]) for k in range(5))
     counts = windows.astype(np.int64)
     lengths = counts + LENGTH - 1
+    limits = np.cumsum([0, *(len(one[0]) for one in unpacked)])
+    begins = np.concatenate([np.cumsum(own) - own for own in np.split(lengths, limits[1:-1])])
+    found: list[list[np.ndarray]] = []
+    for chosen in _stretches_by_anchor(anchors, counts):
+        chosen = np.sort(chosen)
+        at = np.searchsorted(chosen, limits)
+        texts = np.concatenate(
+            [
+                _gather(one[5], begins[chosen[a:b]], lengths[chosen[a:b]])
+                for one, a, b in zip(unpacked, at, at[1:])
+                if a < b
+            ]
+            or [np.zeros(0, np.uint8)]
+        )
+        for row, first, last in _merge_stretches(texts, anchors[chosen], ids[chosen], lead[chosen], counts[chosen]):
+            found.append([chosen[row], places[chosen[row]] + first, places[chosen[row]] + last])
+    row, first, last = (np.concatenate(column) for column in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+    order = np.argsort(row, kind="stable")
+    row, first, last = row[order], first[order], last[order]
+    bounds = np.searchsorted(row, limits)
+    return [_join_runs(ids[row[a:b]], first[a:b], last[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def _merge_stretches(data: np.ndarray, anchors: np.ndarray, ids: np.ndarray, lead: np.ndarray, counts: np.ndarray):
+    """Stretch, first and last window of runs that start in a smaller document too.
+
+    A frequent anchor may have many more windows than a slice: hashes and the smallest
+    document of each are held for all, everything else for some stretches or for a range
+    of hashes at a time.
+    """
+    lengths = counts + LENGTH - 1
     begins = np.cumsum(lengths) - lengths
     # Equal stretches are merged as wholes; only one of each is opened into windows.
     whole, check = _hashes(data, begins, lengths)
@@ -388,38 +448,44 @@ def merge_records(blobs: list[bytes]) -> list[bytes]:
     np.minimum.at(least, same, ids)
     opened = counts[leader]
     ends = np.cumsum(opened)
-    starts = np.arange(int(ends[-1])) - np.repeat(ends - opened, opened)
-    texts = _gather(data, begins[leader], lengths[leader])
-    begins = np.cumsum(lengths[leader]) - lengths[leader]
-    window, control = _hashes(texts, np.repeat(begins, opened) + starts, np.full(len(starts), LENGTH))
-    order = np.argsort(window, kind="stable")
-    merged = window[order]
-    heads = np.append(True, merged[1:] != merged[:-1])
-    if (control[order][1:] != control[order][:-1])[~heads[1:]].any():
-        order = np.lexsort((control, window))
-        heads = np.append(True, (window[order][1:] != window[order][:-1]) | (control[order][1:] != control[order][:-1]))
-    first = np.flatnonzero(heads)
-    run_least = np.minimum.reduceat(np.repeat(least, opened)[order], first)
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(heads) - 1
-    smallest = run_least[group]
-    del merged, window, control, order, heads, group, texts
+    window, control = np.empty(int(ends[-1]), np.uint64), np.empty(int(ends[-1]), np.uint64)
+    for a, b in _row_chunks(opened):
+        low, high = int(ends[a] - opened[a]), int(ends[b - 1])
+        texts = _gather(data, begins[leader[a:b]], lengths[leader[a:b]])
+        own = np.cumsum(lengths[leader[a:b]]) - lengths[leader[a:b]]
+        starts = np.arange(low, high) + np.repeat(own - (ends[a:b] - opened[a:b]), opened[a:b])
+        window[low:high], control[low:high] = _hashes(texts, starts, np.full(len(starts), LENGTH))
+    smallest = np.empty(len(window), np.int64)
+    ranges = max(0, (len(window) // SLICE_WINDOWS).bit_length())
+    for k in range(1 << ranges):
+        at = np.flatnonzero(window >> np.uint64(64 - ranges) == k) if ranges else np.arange(len(window))
+        if not len(at):
+            continue
+        order = at[np.argsort(window[at], kind="stable")]
+        heads = np.append(True, window[order][1:] != window[order][:-1])
+        if (control[order][1:] != control[order][:-1])[~heads[1:]].any():
+            order = at[np.lexsort((control[at], window[at]))]
+            one, two = window[order], control[order]
+            heads = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+        documents = least[np.searchsorted(ends, order, side="right")]
+        smallest[order] = np.minimum.reduceat(documents, np.flatnonzero(heads))[np.cumsum(heads) - 1]
+    del window, control
 
-    results, at = [], 0
     firsts = ends - opened
-    for blob_ids, places, blob_windows in ((o[1], o[2], o[4].astype(np.int64)) for o in unpacked):
-        rows = np.arange(at, at + len(blob_ids))
-        at += len(blob_ids)
-        owner = np.repeat(np.arange(len(rows)), blob_windows)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(blob_windows) - blob_windows, blob_windows)
-        found = smallest[firsts[same[rows]][owner] + within]
-        smaller = found < blob_ids[owner]
-        results.append(_mark_runs(blob_ids[owner[smaller]], (places[owner] + within)[smaller]))
-    return results
+    for a, b in _row_chunks(counts):
+        owner = np.repeat(np.arange(a, b), counts[a:b])
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(counts[a:b]) - counts[a:b], counts[a:b])
+        smaller = smallest[firsts[same[owner]] + within] < ids[owner]
+        owner, within = owner[smaller], within[smaller]
+        if len(owner):
+            heads = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (within[1:] != within[:-1] + 1)))
+            yield owner[heads], within[heads], within[np.append(heads[1:], len(owner)) - 1]
 
 
 def _merge(group: pa.Table) -> pa.Table:
-    buckets, blobs, marks = (group[name].to_pylist() for name in ("bucket", "records", "marks"))
+    buckets, marks = group["bucket"].to_pylist(), group["marks"].to_pylist()
+    # The records are read where they lie.
+    blobs = [record.as_buffer() for record in group["records"]]
     rows = [k for k, blob in enumerate(blobs) if blob is not None]
     results = merge_records([blobs[k] for k in rows]) if rows else []
     out = [(buckets[k], result) for k, result in zip(rows, results, strict=True)]
