@@ -1,7 +1,7 @@
 """Reusable DataFrame operators the models are composed of."""
 
 from cohortline.operators.dedupe import latest_by_key, upsert
-from cohortline.operators.expand import active_years, unnest
+from cohortline.operators.expand import active_spans, count_by_year, unnest
 from cohortline.operators.groups import (
     approval_by_application,
     mode_per_group,
@@ -14,11 +14,12 @@ from cohortline.operators.ranking import first_per_group, number_rows, rows_of_t
 from cohortline.operators.series import add_lag, add_launch_value, add_share, split_at
 
 __all__ = [
-    "active_years",
+    "active_spans",
     "add_lag",
     "add_launch_value",
     "add_share",
     "approval_by_application",
+    "count_by_year",
     "first_per_group",
     "latest_by_key",
     "lookup",

@@ -1,10 +1,8 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortline.functions import year_span
-
 
 def unnest(frame: DataFrame, array: str, *kept: str, **fields: str | None) -> DataFrame:
     """One row per array element; an empty or missing array gives no row.
@@ -18,19 +16,64 @@ def unnest(frame: DataFrame, array: str, *kept: str, **fields: str | None) -> Da
     )
 
 
-def active_years(trials: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Distinct (key, start_year, activity_year), one row per year a key was active.
+def active_spans(trials: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Per key the year of its first start and its years of activity as disjoint spans.
 
-    A missing end counts as active in the start year only. Spans are made distinct
-    before they are expanded, so the number of rows depends on the calendar and
-    not on how many trials a key has. A reversed span keeps one row with a NULL
-    activity year, because its start still says when the key was first seen.
+    A missing end counts as active in the start year only; a reversed span has no active
+    year, but its start still says when the key was first seen. Spans of one start year are
+    combined before they are shuffled, touching ones are merged inside the row, so a row
+    holds at most one span for every second calendar year however many trials a key has.
     """
     first = F.year(start)
-    spans = (
+    longest = (
         trials.where(F.col(start).isNotNull() & F.col(key).isNotNull())
-        .select(key, first.alias("start_year"), F.coalesce(F.year(end), first).alias("end_year"))
-        .distinct()
+        .select(key, first.alias("first"), F.coalesce(F.year(end), first).alias("last"))
+        .groupBy(key, "first")
+        .agg(F.max("last").alias("last"))
+    )
+    span = F.when(F.col("last") >= F.col("first"), F.struct("first", "last"))
+    spans = longest.groupBy(key).agg(F.min("first").alias("first_year"), F.collect_list(span).alias("_spans"))
+
+    def merged(done: Column, span: Column) -> Column:
+        latest = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(latest["first"].alias("first"), F.greatest(latest["last"], span["last"]).alias("last"))
+        touches = span["first"] <= latest["last"] + 1
+        earlier = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(touches, F.concat(earlier, F.array(longer))).otherwise(F.concat(done, F.array(span)))
+
+    none = F.array().cast("array<struct<first: int, last: int>>")
+    return spans.select(key, "first_year", F.aggregate(F.array_sort("_spans"), none, merged).alias("spans"))
+
+
+def count_by_year(frame: DataFrame, group: str, spans: str, year: str, count: str) -> DataFrame:
+    """How many rows of each group are active in each year, years without any left out.
+
+    A span adds one at its first year and takes one away after its last; these changes are
+    summed per group and year, and their running total is the count. Only the summed
+    changes, at most one per group and calendar year, are filled up to a row for each year.
+    """
+    spans_of = frame.select(group, F.explode(spans).alias("_s"))
+    changes = spans_of.select(
+        group,
+        F.inline(
+            F.array(
+                F.struct(F.col("_s.first").alias("_from"), F.lit(1).alias("_change")),
+                F.struct((F.col("_s.last") + 1).alias("_from"), F.lit(-1).alias("_change")),
+            )
+        ),
+    )
+    by_year = Window.partitionBy(group).orderBy("_from")
+    totals = (
+        changes.groupBy(group, "_from")
+        .agg(F.sum("_change").alias("_change"))
+        .select(
+            group,
+            "_from",
+            F.lead("_from").over(by_year).alias("_next"),
+            F.sum("_change").over(by_year.rowsBetween(Window.unboundedPreceding, 0)).alias(count),
+        )
+    )
+    # After the last change nothing is active, so a count above zero has a next change.
+    return totals.where(F.col(count) > 0).select(
+        group, F.explode(F.sequence("_from", F.col("_next") - 1)).alias(year), count
     )
-    years = year_span(F.col("start_year"), F.col("end_year"))
-    return spans.select(key, "start_year", F.explode_outer(years).alias("activity_year"))

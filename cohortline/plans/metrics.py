@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import is_combined_phase, normalized_name, ratio, row_count, surrogate_key
 from cohortline.operators import (
-    active_years,
+    active_spans,
     add_lag,
     add_launch_value,
+    count_by_year,
     lookup_with_null,
     match_by_name,
     percentile_bands,
@@ -144,14 +145,9 @@ def duration_histogram(fct_trials: DataFrame) -> DataFrame:
 
 
 def sponsor_activity(fct_trials: DataFrame) -> DataFrame:
-    """Per sponsor the year of the first trial and the set of years with one running.
-
-    The set holds calendar years, so its size does not depend on the trial count.
-    """
-    years = active_years(fct_trials, "sponsor_key", "start_date", "completion_date")
-    return years.groupBy("sponsor_key").agg(
-        F.min("start_year").alias("cohort_year"), F.collect_set("activity_year").alias("activity_years")
-    )
+    """Per sponsor the year of the first trial and the disjoint spans of years with one running."""
+    spans = active_spans(fct_trials, "sponsor_key", "start_date", "completion_date")
+    return spans.withColumnRenamed("first_year", "cohort_year")
 
 
 # Metrics
@@ -164,12 +160,7 @@ def metric_phase_transition(trial_funnel: DataFrame, condition_funnel: DataFrame
 
 
 def metric_sponsor_cohorts(sponsor_activity: DataFrame, dim_sponsor: DataFrame) -> DataFrame:
-    counted = (
-        sponsor_activity.select("cohort_year", F.explode("activity_years").alias("activity_year"))
-        .where("activity_year >= cohort_year")
-        .groupBy("cohort_year", "activity_year")
-        .agg(row_count().alias("active_sponsor_count"))
-    )
+    counted = count_by_year(sponsor_activity, "cohort_year", "spans", "activity_year", "active_sponsor_count")
     # One row per sponsor on both sides, so no key can be hot.
     members = sponsor_activity.select("sponsor_key", "cohort_year").join(dim_sponsor, "sponsor_key")
     # Rates have four digits; averaging them as decimals keeps ties exact.

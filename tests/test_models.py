@@ -9,7 +9,7 @@ import pytest
 from registry import application, rows, study, submission
 from pyspark.sql import functions as F
 
-from cohortline.operators import approval_by_application, latest_by_key
+from cohortline.operators import active_spans, approval_by_application, count_by_year, latest_by_key
 from cohortline.plans import dashboards, insights, serving
 
 
@@ -271,6 +271,27 @@ def test_cohorts_against_brute_force(make_warehouse, seed):
     assert rows(w.metric_sponsor_cohorts) == sorted(expected)
 
 
+def test_spans_are_merged_and_counted_without_a_row_for_each_year(spark):
+    trials = spark.sql("""
+        select k, make_date(a, 1, 1) as s, make_date(b, 1, 1) as e from values
+        ('x', 2000, 2002), ('x', 2000, 2001), ('x', 2003, 2004), ('x', 2010, 2009), ('x', 2008, 2012), ('x', 2009, 2010),
+        ('y', 2001, null), ('y', null, 2004), ('z', 2005, 2004), (null, 2000, 2001), ('w', 2000, 2000), ('w', 2002, 2002)
+        as t(k, a, b)""")
+    spans = active_spans(trials, "k", "s", "e")
+    assert "Generate" not in spans._jdf.queryExecution().executedPlan().toString()
+    found = {row.k: (row.first_year, [tuple(span) for span in row.spans]) for row in spans.collect()}
+    assert found == {
+        "w": (2000, [(2000, 2000), (2002, 2002)]),
+        "x": (2000, [(2000, 2004), (2008, 2012)]),
+        "y": (2001, [(2001, 2001)]),
+        "z": (2005, []),
+    }
+    counted = count_by_year(spans, "first_year", "spans", "year", "n")
+    expected = {(2000, year): 1 for year in (2001, 2003, 2004, *range(2008, 2013))}
+    expected |= {(2000, 2000): 2, (2000, 2002): 2, (2001, 2001): 1}
+    assert {(row.first_year, row.year): row.n for row in counted.collect()} == expected
+
+
 # Empty input, selections
 
 
