@@ -176,15 +176,26 @@ def accepted_values(tables: Tables, rules: dict[str, dict[str, list]] = ACCEPTED
 
 
 def unique(tables: Tables, rules: dict[str, list[str]] = UNIQUE) -> DataFrame:
-    """Values occurring more than once."""
+    """Values occurring more than once.
 
-    def repeated(model: str, column: str) -> DataFrame:
-        values = tables(model).where(F.col(column).isNotNull()).groupBy(column).agg(row_count().alias("_n"))
-        return values.agg(F.count_if(F.col("_n") > 1).alias("_repeated")).select(
-            F.inline(F.array(_rule_row(model, column, "unique", F.col("_repeated"))))
+    Every table is read once and gives one row per value and rule, told apart as text; all
+    of them are counted in one aggregation, hence one exchange for all tables and columns.
+    """
+    columns = [(model, column) for model, names in rules.items() for column in names]
+
+    def values(model: str, names: list[str]) -> DataFrame:
+        cells = (
+            F.struct(F.lit(columns.index((model, name))).alias("_rule"), F.col(name).cast("string").alias("_value"))
+            for name in names
         )
+        return tables(model).select(F.inline(F.array(*cells))).where(F.col("_value").isNotNull())
 
-    return _stacked(repeated(model, column) for model, columns in rules.items() for column in columns)
+    counted = _stacked(values(model, names) for model, names in rules.items())
+    repeated = counted.groupBy("_rule", "_value").agg(row_count().alias("_n")).where("_n > 1")
+    totals = repeated.agg(*(F.count_if(F.col("_rule") == k).alias(f"_{k}") for k in range(len(columns))))
+    return totals.select(
+        F.inline(F.array(*(_rule_row(m, c, "unique", F.col(f"_{k}")) for k, (m, c) in enumerate(columns))))
+    )
 
 
 def relationships(tables: Tables, rules: list[tuple[str, str, str, str]] = RELATIONSHIPS) -> DataFrame:

@@ -46,6 +46,23 @@ def test_each_kind_finds_its_violation(spark):
         quality.require_clean(quality.unique(tables, {"child": ["k"]}))
 
 
+def test_uniqueness_of_all_tables_takes_one_scan_each_and_one_exchange(spark):
+    first = spark.range(20).select("id", (F.col("id") % 3).alias("three"), F.lit(None).cast("date").alias("none"))
+    second = spark.createDataFrame([("1",), ("2",), ("2",), (None,), (None,)], "id string")
+    rules = {"first": ["id", "three", "none"], "second": ["id"]}
+    found = quality.unique(tables_of(first=first, second=second), rules)
+    assert rows(found, "model", "column_name", "failures") == [
+        ("first", "id", 0),
+        ("first", "none", 0),
+        ("first", "three", 3),
+        ("second", "id", 1),
+    ]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Range (") == 1
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    assert planned.count("Exchange hashpartitioning") == 1
+
+
 def test_rules_hold_on_empty_tables(make_warehouse):
     report = quality.report(make_warehouse().table)
     assert report.count() == 102
