@@ -57,6 +57,40 @@ def test_suffix_dedup(spark, base, monkeypatch, bucket):
     assert found == removed_bytes(base("documents", "doc_id, text"))
 
 
+@pytest.mark.parametrize("windows", [1, 64, suffix_dedup.SLICE_WINDOWS])
+def test_frequent_anchor_is_merged_in_slices(monkeypatch, windows):
+    monkeypatch.setattr(suffix_dedup, "SLICE_WINDOWS", windows)
+    random = np.random.default_rng(4)
+    sources = [random.integers(97, 99, 130).astype(np.uint8) for _ in range(4)]
+    blobs, least, stretches = [], {}, []
+    for _ in range(5):
+        rows = []
+        for _ in range(40):
+            key, count = int(random.integers(1, 30)), int(random.integers(1, 50))
+            low = int(random.integers(0, 130 - count - 48))
+            # Few texts, all of one anchor or of one more, so that most windows are shared.
+            source = int(random.integers(4))
+            text = sources[source][low : low + count + 49]
+            rows.append((source // 2, key, 1_000 * len(rows), low, count, text))
+            for k in range(count):
+                piece = (source // 2, text[k : k + 50].tobytes())
+                least[piece] = min(least.get(piece, key), key)
+        stretches.append(rows)
+        columns = list(zip(*rows, strict=True))
+        kinds = (np.uint64, np.int64, np.int64, np.int16, np.int16)
+        arrays = [np.array(column, kind) for column, kind in zip(columns, kinds, strict=False)]
+        blobs.append(suffix_dedup._pack(**{str(k): a for k, a in enumerate([*arrays, np.concatenate(columns[5])])}))
+    for result, rows in zip(suffix_dedup.merge_records(blobs), stretches, strict=True):
+        ids, first, last = suffix_dedup._unpack(result, np.int64, np.int64, np.int64)
+        found = {(i, place) for i, a, b in zip(ids, first, last, strict=True) for place in range(a, b + 1)}
+        assert found == {
+            (key, place + k)
+            for anchor, key, place, _, count, text in rows
+            for k in range(count)
+            if least[anchor, text[k : k + 50].tobytes()] < key
+        }
+
+
 def test_suffixes_are_sorted_and_prefixes_exact():
     random = np.random.default_rng(1)
     data = random.integers(97, 99, 3000).astype(np.uint8)
