@@ -26,7 +26,7 @@ a closer pair with less.
 
 Defined results: a null or empty text, or one without words, has an empty set and is
 linked with nothing; a text of fewer words than ``width`` is one shingle; rows with one
-id are one document, whose set is that of its first text in byte order; a null id is
+id are one document, whose set is that of smallest digest among its texts; a null id is
 linked with nothing, its component is null and it is kept; extra columns are ignored.
 """
 
@@ -97,6 +97,10 @@ def _distinct(hashes: np.ndarray) -> np.ndarray:
     return ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(ordered) else ordered
 
 
+def _digest(members: bytes) -> bytes:
+    return hashlib.blake2b(members, digest_size=16).digest()
+
+
 def signatures(width: int):
     factors = random_words(COORDINATES, 17)
 
@@ -114,7 +118,7 @@ def signatures(width: int):
             for k in range(len(block)):
                 own = _distinct(hashes[bounds[k] : bounds[k + 1]])
                 sizes.append(len(own))
-                names.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                names.append(_digest(own.tobytes()) if len(own) else None)
         flat = np.concatenate(values) if values else np.zeros((0, COORDINATES), np.int32)
         offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * COORDINATES)
         signature = pa.ListArray.from_arrays(offsets, pa.array(flat.ravel(), pa.int32()))
@@ -131,9 +135,10 @@ def full_sets(width: int):
         for block in blocks(texts):
             hashes, bounds = shingles(block, width)
             sets += [_distinct(hashes[bounds[k] : bounds[k + 1]]).tobytes() for k in range(len(block))]
-        return pa.array(sets, pa.binary())
+        names = [_digest(members) for members in sets]
+        return pa.StructArray.from_arrays([pa.array(sets, pa.binary()), pa.array(names, pa.binary())], ["shingles", "same"])
 
-    return arrow_udf(gather, "binary")
+    return arrow_udf(gather, "shingles binary, same binary")
 
 
 def posted_groups(signed: DataFrame, matches: int, store: Store) -> DataFrame:
@@ -291,19 +296,22 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     representatives = store.write(
         named.join(classes.select(F.col("id").alias("doc_id"), "same"), ["doc_id", "same"])
         .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("id"), "n", "signature"),
+        .select(F.col("doc_id").alias("id"), "same", "n", "signature"),
         "representatives",
     )
     groups = store.write(posted_groups(representatives, least_matches(POSTED, percent), store).select("id", F.col("component").alias("group")), "groups")
-    grouped = store.write(representatives.join(groups, "id"), "grouped")
+    named_groups = store.write(representatives.join(groups, "id"), "grouped")
+    grouped = named_groups.drop("same")
 
     gather = full_sets(width)
     texts = documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     sets = texts.join(groups.select("id").hint("shuffle_hash"), "id", "left_semi")
     sets = store.write(
-        sets.select("id", gather("text").alias("shingles"))
-        .withColumn("n", F.expr("octet_length(shingles) div 8"))
-        .join(grouped.select("id", "n"), ["id", "n"], "left_semi"),
+        # Of an id's texts, that whose signature stands for it.
+        sets.select("id", gather("text").alias("s"))
+        .select("id", "s.*")
+        .join(named_groups.select("id", "same"), ["id", "same"], "left_semi")
+        .select("id", "shingles"),
         "sets",
     )
 

@@ -4,9 +4,10 @@ A text is a bag of passages of ``PASSAGE_WORDS`` words. Each passage is describe
 byte-class shares, word-shape statistics and a hashed bigram histogram, and encoded
 by a small network; gated attention, learned from the labels of whole texts, weighs
 the passages, and the weighted representation gives the score. Fitting reads at most
-``FIT_TEXTS`` labelled texts of at most ``FIT_BYTES`` bytes each, drawn by a hash of
-their id (a bound, so that the fit does not grow with the corpus); scoring reads
-every passage of every text.
+``FIT_TEXTS`` labelled texts, drawn by a hash of their id, and of each at most
+``FIT_PASSAGES`` passages, spread evenly from its first to its last (bounds, so that the
+fit does not grow with the corpus or with one text); scoring reads every passage of every
+text.
 
 Defined results: a null or empty text is one blank passage and gets a score like any
 other; without labelled texts, or with one class only, every score is that of the
@@ -29,7 +30,7 @@ from cohortline.llm.textscan import LOWER, NOT_SPACE, Block, SpanHash, blocks, b
 
 PASSAGE_WORDS = 64
 FIT_TEXTS = 3_000
-FIT_BYTES = 64 << 10
+FIT_PASSAGES = 128
 BIGRAMS = 48
 HIDDEN = 24
 GATES = 12
@@ -202,13 +203,23 @@ def _gradients(model: Model, features: np.ndarray, first: np.ndarray, labels: np
     }
 
 
-def _bags(texts: pa.Array) -> pa.Array:
-    """The passages of each text as one binary of float32 features."""
-    packed = []
-    for block in blocks(texts):
-        features, first = passage_features(block)
-        packed += [features[first[k] : first[k + 1]].tobytes() for k in range(len(block))]
-    return pa.array(packed, pa.binary())
+def spread_passages(count: int, most: int) -> np.ndarray:
+    """All passages of a text, or ``most`` of them, spread evenly from the first to the last."""
+    return np.arange(count) if count <= most else np.linspace(0, count - 1, most).round().astype(np.int64)
+
+
+def _bags(most: int):
+    def bags(texts: pa.Array) -> pa.Array:
+        """Passages of each text as one binary of float32 features."""
+        packed = []
+        for block in blocks(texts):
+            features, first = passage_features(block)
+            for k in range(len(block)):
+                own = spread_passages(int(first[k + 1] - first[k]), most)
+                packed.append(features[first[k] + own].tobytes())
+        return pa.array(packed, pa.binary())
+
+    return bags
 
 
 def held_out(key: Column) -> Column:
@@ -216,7 +227,7 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, fit_texts: int = FIT_TEXTS, fit_bytes: int = FIT_BYTES) -> Model:
+def train(documents: DataFrame, labels: DataFrame, fit_texts: int = FIT_TEXTS, fit_passages: int = FIT_PASSAGES) -> Model:
     """A model fitted on a bounded sample of the labelled texts that are not held out."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
@@ -224,8 +235,7 @@ def train(documents: DataFrame, labels: DataFrame, fit_texts: int = FIT_TEXTS, f
     chosen = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_texts)
     # At most fit_texts narrow rows, so a broadcast of proven size.
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = sample.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= fit_bytes)
-    encode = arrow_udf(_bags, "binary")
+    encode = arrow_udf(_bags(fit_passages), "binary")
     # Repeated rows of an id are cut after that many texts in all.
     rows = sample.select("doc_id", "quality", encode("text").alias("bag")).orderBy("doc_id", "bag").limit(fit_texts)
     table = rows.toArrow()

@@ -36,6 +36,8 @@ from cohortline.llm.store import Store, small_batches
 
 FRAME_BYTES = 512 << 10
 BUNDLE_BYTES = 64 << 20
+# Compressed frames, in all, that one task reads back.
+READ_BYTES = 4 << 20
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 
@@ -275,18 +277,34 @@ def _decode(content: bytes) -> Iterator[tuple]:
 def _read_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [part.split()[0] for part in RECORD.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-    for batch in batches:
-        for bundle, frame in zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist(), strict=True):
-            with _open(bundle, "rb") as file:
-                start, size, _ = read_seek_table(file)[frame]
+    opened, file, table = None, None, []
+    try:
+        for batch in batches:
+            for bundle, frame in zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist(), strict=True):
+                if bundle != opened:
+                    if file is not None:
+                        file.close()
+                    opened, file = bundle, _open(bundle, "rb")
+                    table = read_seek_table(file)
+                start, size, _ = table[frame]
                 columns = list(zip(*_decode(read_frame(file, start, size)), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    finally:
+        if file is not None:
+            file.close()
 
 
-def read_archive(index: DataFrame) -> DataFrame:
-    """Every record of the bundles that the index names, read frame by frame from the files."""
-    frames = index.select("bundle", "frame").distinct()
-    return frames.mapInArrow(_read_frames, RECORD)
+def read_archive(index: DataFrame, read_bytes: int = READ_BYTES) -> DataFrame:
+    """Every record of the bundles that the index names, read frame by frame from the files.
+
+    Frames are dealt to tasks by range, so a task opens each of its bundles once; there are
+    as many tasks as the frames' bytes ask for.
+    """
+    frames = index.select("bundle", "frame", "frame_bytes").distinct()
+    total = frames.agg(F.coalesce(F.sum("frame_bytes"), F.lit(0))).first()[0]
+    tasks = max(1, -(-total // read_bytes))
+    dealt = frames.repartitionByRange(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame")
+    return dealt.select("bundle", "frame").mapInArrow(_read_frames, RECORD)
 
 
 def fetch(index: DataFrame, page_ids: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 
 from cohortline.plans import quality, staging
-from cohortline.schemas import APPLICATION_PAYLOAD, STUDY_PAYLOAD
 from cohortline.sinks.csv import export_all
 from cohortline.sinks.layers import append_audit, publish_staging, publish_tables, register_views
 from cohortline.sinks.published import forget_runs, manifests, publish_run
@@ -94,8 +93,8 @@ def refresh(
     passed = set(MODELS) - stopped
     publish_run(w, folder, since, passed)
     log = f"{folder}/ops/extraction_log"
-    append_audit(staging.excluded_documents(unreadable(w.raw_studies, STUDY_PAYLOAD), "stg_trials"), log)
-    append_audit(staging.excluded_documents(unreadable(w.raw_applications, APPLICATION_PAYLOAD), "stg_approvals"), log)
+    append_audit(staging.excluded_documents(unreadable(w.raw_studies), "stg_trials"), log)
+    append_audit(staging.excluded_documents(unreadable(w.raw_applications), "stg_approvals"), log)
     if "applications_parsed" in passed:
         append_audit(staging.excluded_applications(w.applications_parsed), log)
     register_views(w, passed)

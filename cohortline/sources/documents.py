@@ -1,6 +1,7 @@
 """Parsing of raw registry documents.
 
-A document is parsed once. Arrays are trimmed, blanked and de-duplicated inside
+A payload is parsed once, to a Variant: that tells whether it can be read, and the
+fields are taken from it. Arrays are trimmed, blanked and de-duplicated inside
 their row: the document key is unique in the raw table, so a row-local distinct
 gives the same pairs as a distinct over all rows, without a shuffle.
 """
@@ -20,23 +21,26 @@ def _distinct_present(items: Column, present) -> Column:
     return F.array_distinct(F.filter(items, present))
 
 
-_UNREAD = "_unread"
-
-
-def _readable() -> Column:
-    """Whether the payload is a whole JSON object; told without taking any field."""
-    whole = F.from_json("payload", f"{_UNREAD} string", {"columnNameOfCorruptRecord": _UNREAD})
-    return F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False)) & whole[_UNREAD].isNull()
+def _whole() -> Column:
+    """The payload as a Variant, if it is a whole JSON object; null otherwise."""
+    return F.when(F.ltrim("payload").startswith("{"), F.try_parse_json("payload"))
 
 
 def parsed(raw: DataFrame, schema: str) -> DataFrame:
-    """The raw rows that can be read, with their document as ``doc``; its fields are taken once."""
-    return raw.where(_readable()).withColumn("doc", F.from_json("payload", schema))
+    """The raw rows that can be read, with their document as ``doc``.
+
+    A field of another type than the schema's is null, the others are kept. The Variant
+    comes out of an exploded array of one or none: as a column with a filter on it, the
+    optimizer would parse once for the filter and once for the fields.
+    """
+    whole = F.filter(F.array(_whole()), lambda document: document.isNotNull())
+    read = raw.select("*", F.explode(whole).alias("_document"))
+    return read.select(*raw.columns, F.try_variant_get("_document", "$", f"struct<{schema}>").alias("doc"))
 
 
-def unreadable(raw: DataFrame, schema: str) -> DataFrame:
+def unreadable(raw: DataFrame) -> DataFrame:
     """Raw rows whose payload cannot be read; no model sees them, the audit log counts them."""
-    return raw.where(~_readable())
+    return raw.where(_whole().isNull())
 
 
 def nested_schema(paths: list[str], types: dict[str, str]) -> str:

@@ -6,6 +6,8 @@ import pytest
 from registry import application, rows, study, submission
 from pyspark.errors import PySparkException
 
+from cohortline.sources.documents import parse_applications, parse_studies, unreadable
+
 D = datetime.date
 
 
@@ -115,3 +117,31 @@ def test_submissions(make_warehouse):
         ("N2", None, "ORIG", "1", None, None, None),
     ]
     assert w.stg_approvals.select("approval_key").distinct().count() == 3
+
+
+def test_a_payload_is_parsed_once(make_warehouse):
+    w = make_warehouse([study("A")], [application("N1", "x", [submission()])])
+    for frame in (parse_studies(w.raw_studies), parse_applications(w.raw_applications)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson(") == 1 and "from_json" not in plan
+
+
+def test_what_can_be_read(make_warehouse):
+    """A field of a wrong type is null; what is not one whole object is set aside."""
+    payloads = {
+        "A": '{"protocolSection": {"designModule": {"phases": "PHASE1"}, "statusModule": {"overallStatus": "COMPLETED"}}}',
+        "B": '  {"protocolSection": {"statusModule": {"whyStopped": 12}}}',
+        "C": '{"protocolSection": {"conditionsModule": {"conditions": ["Flu", 7, null]}}}',
+        "D": '{"protocolSection": null}',
+        "E": '{"protocolSection": {',
+        "F": "[1]",
+        "G": "",
+        "H": None,
+        "I": '{"hasResults": true, "hasResults": false}',
+    }
+    w = make_warehouse(list(payloads.items()))
+    assert rows(w.stg_trials, "nct_id", "overall_status", "phase", "why_stopped") == [
+        ("A", "COMPLETED", None, None), ("B", None, None, "12"), ("C", None, None, None), ("D", None, None, None)
+    ]
+    assert rows(w.stg_trial_conditions) == [("C", "7"), ("C", "Flu")]
+    assert [row[0] for row in rows(unreadable(w.raw_studies), "nct_id")] == ["E", "F", "G", "H", "I"]
