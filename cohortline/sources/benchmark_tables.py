@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cohortline.operators import lookup
 
 LINES = 1000
+LINES_A_TASK = 100_000
 PAGE_SIZE = 1000
 
 # How the benchmark codes map onto registry codes.
@@ -58,17 +59,32 @@ def study_key(key: Column) -> Column:
     return F.concat(F.lit("NCT"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
-def _with_documents(lineitem: DataFrame, *keys: str) -> DataFrame:
-    """Line items with the number of documents their key is dealt over.
+def _documents_of_keys(lineitem: DataFrame, *keys: str) -> DataFrame:
+    """Keys dealt over several documents, and over how many.
 
-    Keys above LINES are one in LINES line items at most, and usually none.
+    Keys above LINES are one in LINES line items at most, and usually none, so they are
+    broadcast: line items are not shuffled to learn that theirs is one document.
     """
     counts = lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"))
     large = counts.where(F.col("_lines") > LINES).select(*keys, F.ceil(F.col("_lines") / LINES).alias("_documents"))
-    joined = lineitem.join(large, list(keys), "left")
+    return F.broadcast(large)
+
+
+def _with_documents(rows: DataFrame, documents: DataFrame, *keys: str) -> DataFrame:
+    """Rows with the number of documents their key is dealt over."""
+    joined = rows.join(documents, list(keys), "left")
     return joined.withColumn("_documents", F.coalesce("_documents", F.lit(1)))
 
 
+def _tasks(lineitem: DataFrame) -> int:
+    """Partitions of about LINES_A_TASK line items, counted from the files' footers.
+
+    Documents are gathered by sorting, and a task that holds much more than this spills what
+    it sorts. The session's number of partitions need not grow with the input, this one does.
+    """
+    return max(1, -(-lineitem.count() // LINES_A_TASK))
+
+
 def _document(documents: str, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.col(documents))
 
@@ -78,8 +94,12 @@ def _numbered(key: Column, document: Column) -> Column:
     return F.when(document == 0, key).otherwise(F.concat(key, F.lit("-"), document.cast("string")))
 
 
-def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Per study document: last ship date of the order and what fills the nested arrays."""
+def _study_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per study document: last ship date of the order and what fills the nested arrays.
+
+    Also the orders of more than one document, see ``_documents_of_keys``.
+    """
+    tasks = _tasks(lineitem)
     name = F.concat_ws(" ", "p_brand", "p_type")
     condition = (
         F.when(F.col("has_part").isNull(), None)
@@ -98,7 +118,9 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         ),
     )
     parts = part.withColumnRenamed("p_partkey", "l_partkey").withColumn("has_part", F.lit(True))
-    lines = _with_documents(lookup(lineitem, parts, "l_partkey"), "l_orderkey").select(
+    found = lookup(lineitem, parts, "l_partkey")
+    documents = _documents_of_keys(found, "l_orderkey")
+    lines = _with_documents(found, documents, "l_orderkey").select(
         "l_orderkey",
         F.col("l_shipdate").cast("date").alias("ship"),
         F.col("l_suppkey").alias("site"),
@@ -115,37 +137,48 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         "to", F.explode(F.when(F.col("home") == F.col("document"), F.array(own)).otherwise(F.array(own, away)))
     )
 
+    # The one shuffle of the line items; an order of very many lines is dealt by its documents.
+    dealt = dealt.select("l_orderkey", "ship", "outcome", "condition", "intervention", "to.*").repartition(
+        tasks, "l_orderkey", "document"
+    )
+
     def of_line(name: str) -> Column:
-        return F.when(F.col("to.line"), F.col(name))
+        return F.when(F.col("line"), F.col(name))
 
     facility = F.when(
-        F.col("to.site").isNotNull(),
-        F.struct(F.concat(F.lit("Site "), F.col("to.site").cast("string")).alias("facility")),
+        F.col("site").isNotNull(),
+        F.struct(F.concat(F.lit("Site "), F.col("site").cast("string")).alias("facility")),
     )
-    return dealt.groupBy("l_orderkey", "to.document").agg(
+    gathered = dealt.groupBy("l_orderkey", "document").agg(
         F.max("ship").alias("last_ship"),
         F.sort_array(F.collect_list(of_line("outcome"))).alias("outcomes"),
         F.sort_array(F.collect_set(facility)).alias("sites"),
         F.sort_array(F.collect_set(of_line("condition"))).alias("conditions"),
         F.sort_array(F.collect_set(of_line("intervention"))).alias("interventions"),
     )
+    return gathered, documents
 
 
 def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(nct_id, payload, fetched_at), one row per order, or several for an order of many lines."""
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    lines = _study_lines(
+    lines, documents = _study_lines(
         read_table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
         ),
         read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
     )
     named = lookup(orders, customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
-    frame = named.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # An order meets the line items by key and document, as they lie; of several documents only those that have some.
+    numbered = _with_documents(named, documents.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").withColumn(
+        "_number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_documents") - 1))
+    )
+    meet = (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("_number") == F.col("document"))
+    frame = numbered.join(lines, meet, "left").where((F.col("_documents") == 1) | F.col("document").isNotNull())
 
     key = F.col("o_orderkey")
-    nct_id = _numbered(study_key(key), F.coalesce("document", F.lit(0)))
+    nct_id = _numbered(study_key(key), F.col("_number"))
     # Sponsors start between 1990 and 2010; a fifth of a sponsor's studies come ten years later.
     later = F.when(_every(key, 5), 120).otherwise(0)
     months = (F.pmod(F.col("o_custkey"), F.lit(5)) * 60 - 60 + later).cast("int")
@@ -234,7 +267,12 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     ship = F.col("l_shipdate").cast("date")
     named = lookup(lineitem, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
-    events = _with_documents(named, "l_suppkey", "l_partkey").select(
+    documents = _documents_of_keys(named, "l_suppkey", "l_partkey")
+    dealt = _with_documents(named, documents, "l_suppkey", "l_partkey").withColumn(
+        "document", _document("_documents", "l_orderkey", "l_linenumber", "l_shipdate")
+    )
+    # Shuffled before their texts are built.
+    events = dealt.repartition(_tasks(lineitem), "l_suppkey", "l_partkey", "document").select(
         "l_suppkey",
         "s_name",
         "l_partkey",
@@ -243,7 +281,7 @@ def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFram
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("number"),
         "l_linestatus",
         "l_returnflag",
-        _document("_documents", "l_orderkey", "l_linenumber", "l_shipdate").alias("document"),
+        "document",
     )
     day = F.dayofmonth("ship")
     submission = F.struct(

@@ -66,17 +66,19 @@ class Warehouse:
         self.workspace = workspace or Workspace(self.spark)
         self.sf_dir: str | None = None
         self._tables: dict[str, DataFrame] = {"raw_studies": raw_studies, "raw_applications": raw_applications}
+        # Raw tables still to be landed: the folder of each.
+        self._to_land: dict[str, str] = {}
 
     @classmethod
     def over_benchmark_tables(cls, spark: SparkSession, sf_dir: str, workspace: Workspace | None = None) -> Warehouse:
-        """A warehouse whose documents are built from the benchmark tables, then landed."""
-        workspace = workspace or Workspace(spark)
+        """A warehouse whose documents are built from the benchmark tables, each source landed on first use."""
         warehouse = cls(
-            workspace.write(benchmark_tables.raw_studies(spark, sf_dir), "raw", "studies"),
-            workspace.write(benchmark_tables.raw_applications(spark, sf_dir), "raw", "applications"),
-            workspace,
+            benchmark_tables.raw_studies(spark, sf_dir),
+            benchmark_tables.raw_applications(spark, sf_dir),
+            workspace or Workspace(spark),
         )
         warehouse.sf_dir = sf_dir
+        warehouse._to_land = {"raw_studies": "studies", "raw_applications": "applications"}
         return warehouse
 
     def plan(self, name: str) -> DataFrame:
@@ -86,6 +88,9 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A table by name; it and the tables it needs are built if they are not yet."""
+        if name in self._to_land:
+            self._tables[name] = self.workspace.write(self._tables[name], "raw", self._to_land[name])
+            del self._to_land[name]
         if name not in self._tables:
             frame = self.plan(name)
             if MODELS[name].written:
@@ -100,13 +105,13 @@ class Warehouse:
 
     @property
     def raw_studies(self) -> DataFrame:
-        return self._tables["raw_studies"]
+        return self.table("raw_studies")
 
     @property
     def raw_applications(self) -> DataFrame:
-        return self._tables["raw_applications"]
+        return self.table("raw_applications")
 
     def build_all(self) -> None:
         """Write every written table."""
-        for name in MODELS:
+        for name in (*RAW, *MODELS):
             self.table(name)
