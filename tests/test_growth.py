@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import os
 
-from registry import rows
+from pyspark.sql.types import StructType
+from registry import rows, study
 
+from cohortline import keyed
+from cohortline.incremental import LiveMarts
+from cohortline.keyed import KeyedStore
 from cohortline.sources import benchmark_tables
+from cohortline.streaming.ingest import ORDER, record_store
 from cohortline.warehouse import Warehouse
+from cohortline.workspace import Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def parts(folder: str) -> list[str]:
+    return [f"{top}/{name}" for top, _, names in os.walk(folder) for name in names if name.endswith(".parquet")]
+
+
 def test_a_source_is_landed_only_when_it_is_read(spark, workspace):
     w = Warehouse.over_benchmark_tables(spark, SF_DIR, workspace)
     assert not w.raw_applications.isEmpty()
@@ -30,3 +40,31 @@ def test_documents_are_gathered_by_tasks_of_a_bounded_number_of_lines(spark, mon
         # Line items are shuffled once, by key and document.
         assert plan.count("REPARTITION_BY_NUM") == 1 and f", {-(-lines // 200)}), REPARTITION_BY_NUM" in plan
         assert rows(frame) == same
+
+
+def test_a_large_bucket_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "ROWS_A_TASK", 20)
+    store = KeyedStore(spark, str(tmp_path / "store"), "k", StructType.fromDDL("k string, v string, at bigint"), buckets=2)
+    given = [(f"k{n}", "old", 1) for n in range(400)]
+    store.merge(spark.createDataFrame(given, store.schema), ("at",))
+    assert len(parts(store.folder)) > 8
+    store.merge(spark.createDataFrame([("k7", "late", 0), ("k7", "new", 2), ("k7", "newer", 3)], store.schema), ("at",))
+    assert rows(store.read()) == sorted([r for r in given if r[0] != "k7"] + [("k7", "newer", 3)])
+    store.replace(spark.createDataFrame([("k8",), ("k9",)], "k string"), spark.createDataFrame([("k8", "a", 1), ("k8", "b", 1)], store.schema))
+    assert rows(store.read().where("k in ('k8', 'k9')")) == [("k8", "a", 1), ("k8", "b", 1)] and store.read().count() == 400
+
+
+def test_changed_records_are_read_where_the_source_has_them(spark, tmp_path, monkeypatch):
+    studies, applications = (record_store(spark, str(tmp_path / name), 2) for name in ("studies", "applications"))
+    given = [study(f"N{n}", conditions=["Flu", "Cold"]) for n in range(5)]
+    raw = spark.createDataFrame(given, "record_id string, payload string").selectExpr(
+        "record_id", "payload", "current_timestamp() as fetched_at", "0L as batch_id", "0L as page", "0 as pos"
+    )
+    studies.merge(raw, ORDER)
+    written, write = [], Workspace.write_fresh
+    monkeypatch.setattr(Workspace, "write_fresh", lambda self, frame, name: written.append((name, frame.columns)) or write(self, frame, name))
+    live = LiveMarts(spark, str(tmp_path / "live"), studies, applications, 2)
+    live.refresh()
+    assert not any("payload" in columns or "after" in columns for _, columns in written)
+    assert "bridge_key" not in live.stores["bridge_trial_condition"].read().columns
+    assert live.bridge_trial_condition.select("bridge_key").distinct().count() == 10
