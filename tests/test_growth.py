@@ -42,6 +42,12 @@ def test_documents_are_gathered_by_tasks_of_a_bounded_number_of_lines(spark, mon
         assert rows(frame) == same
 
 
+def test_line_items_are_shuffled_before_their_texts_are_built(spark):
+    plan = benchmark_tables.raw_studies(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("RepartitionByExpression")
+    assert "Outcome " in above and below and "Outcome " not in below
+
+
 def test_a_large_bucket_is_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(keyed, "ROWS_A_TASK", 20)
     store = KeyedStore(spark, str(tmp_path / "store"), "k", StructType.fromDDL("k string, v string, at bigint"), buckets=2)
