@@ -26,16 +26,23 @@ def _whole() -> Column:
     return F.when(F.ltrim("payload").startswith("{"), F.try_parse_json("payload"))
 
 
-def parsed(raw: DataFrame, schema: str) -> DataFrame:
-    """The raw rows that can be read, with their document as ``doc``.
+def readable(raw: DataFrame) -> DataFrame:
+    """The raw rows that can be read, with their document as the Variant ``_document``.
 
-    A field of another type than the schema's is null, the others are kept. The Variant
-    comes out of an exploded array of one or none: as a column with a filter on it, the
+    It comes out of an exploded array of one or none: as a column with a filter on it, the
     optimizer would parse once for the filter and once for the fields.
     """
     whole = F.filter(F.array(_whole()), lambda document: document.isNotNull())
-    read = raw.select("*", F.explode(whole).alias("_document"))
-    return read.select(*raw.columns, F.try_variant_get("_document", "$", f"struct<{schema}>").alias("doc"))
+    return raw.select("*", F.explode(whole).alias("_document"))
+
+
+def parsed(raw: DataFrame, schema: str) -> DataFrame:
+    """The raw rows that can be read, with their document as ``doc``.
+
+    A field of another type than the schema's is null, the others are kept.
+    """
+    document = F.try_variant_get("_document", "$", f"struct<{schema}>")
+    return readable(raw).select(*raw.columns, document.alias("doc"))
 
 
 def unreadable(raw: DataFrame) -> DataFrame:
@@ -112,10 +119,19 @@ def study_columns(raw_studies: DataFrame, *names: str) -> DataFrame:
 
 
 def parse_studies(raw_studies: DataFrame) -> DataFrame:
-    """One typed row per readable study document, conditions and interventions still nested."""
-    columns = study_columns(raw_studies, *STUDY_COLUMNS)
-    first = [name for name in STUDY_COLUMNS if name not in ("conditions", "interventions")]
-    return columns.select("nct_id", *first, "source_fetched_at", "conditions", "interventions")
+    """One typed row per readable study document, conditions and interventions still nested.
+
+    Every field is taken from the Variant by its path: the same values as out of one struct
+    of all, which would be built and copied for every document first.
+    """
+    fields = (
+        F.try_variant_get("_document", f"$.{path}", _TYPES.get(path, "string")).alias(name)
+        for name, (path, _) in STUDY_COLUMNS.items()
+    )
+    taken = readable(raw_studies).select("nct_id", F.col("fetched_at").alias("source_fetched_at"), *fields)
+    read = {name: convert(F.col(name)).alias(name) for name, (_, convert) in STUDY_COLUMNS.items()}
+    conditions, interventions = read.pop("conditions"), read.pop("interventions")
+    return taken.select("nct_id", *read.values(), "source_fetched_at", conditions, interventions)
 
 
 def parse_applications(raw_applications: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from registry import rows, study
 from cohortline import keyed
 from cohortline.incremental import LiveMarts
 from cohortline.keyed import KeyedStore
-from cohortline.sources import benchmark_tables
+from cohortline.sources import benchmark_tables, documents
 from cohortline.streaming.ingest import ORDER, record_store
 from cohortline.warehouse import Warehouse
 from cohortline.workspace import Workspace
@@ -48,6 +48,22 @@ def test_line_items_are_shuffled_before_their_texts_are_built(spark):
     assert "Outcome " in above and below and "Outcome " not in below
 
 
+def test_fields_of_studies_are_taken_by_path(spark, make_warehouse):
+    """A field of another type, or below one, is null; the others are kept, as out of one struct of all."""
+    given = [
+        ("N1", '{"protocolSection": {"identificationModule": {"briefTitle": 7}, "statusModule": [1], "conditionsModule": {"conditions": "x"}}, "hasResults": "true"}'),
+        ("N2", '{"protocolSection": {"conditionsModule": {"conditions": [" a ", 5, null, {"b": 1}]}, "outcomesModule": {"primaryOutcomes": [{}, null, [1]]}, "armsInterventionsModule": {"interventions": [{"name": "i"}, "j", null]}}}'),
+        ("N3", '{"protocolSection": "none", "hasResults": null}'),
+        ("N4", "{}"),
+        ("N5", "[]"),
+    ]
+    w = make_warehouse(given)
+    plan = w.plan("studies_parsed")
+    assert "$.protocolSection.statusModule.whyStopped" in plan._jdf.queryExecution().optimizedPlan().toString()
+    expected = documents.study_columns(w.raw_studies, *documents.STUDY_COLUMNS).drop("source_fetched_at")
+    assert rows(plan.select(*expected.columns)) == rows(expected) and expected.count() == 4
+
+
 def test_a_large_bucket_is_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(keyed, "ROWS_A_TASK", 20)
     store = KeyedStore(spark, str(tmp_path / "store"), "k", StructType.fromDDL("k string, v string, at bigint"), buckets=2)
