@@ -46,7 +46,7 @@ def _queries() -> dict[str, Query]:
                 found[name] = _over_tables(build)
     found["trust_lights"] = lambda w: dashboards.trust_lights(found["pipeline_trust_scorecard"](w))
     for name in ("not_null", "unique", "accepted_values", "relationships"):
-        found[f"dq_{name}"] = lambda w, check=getattr(quality, name): check(w.table)
+        found[f"dq_{name}"] = lambda w, check=getattr(quality, name): check(w.rows_of)
     return found
 
 

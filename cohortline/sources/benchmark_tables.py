@@ -63,13 +63,31 @@ def _documents_of_keys(lineitem: DataFrame, *keys: str) -> DataFrame:
     """Keys dealt over several documents, and over how many.
 
     Keys above LINES are one in LINES line items at most, and usually none, so they are
-    broadcast: line items are not shuffled to learn that theirs is one document.
+    broadcast: line items are not shuffled to learn that theirs is one document. Of several
+    columns, the first is counted by itself: only line items whose value of it is above LINES
+    can have such a key, and are counted by all columns.
     """
+    if len(keys) > 1:
+        first = lineitem.groupBy(keys[0]).agg(F.count(F.lit(1)).alias("_lines"))
+        frequent = first.where(F.col("_lines") > LINES).select(keys[0])
+        lineitem = lineitem.join(F.broadcast(frequent), keys[0], "left_semi")
     counts = lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"))
     large = counts.where(F.col("_lines") > LINES).select(*keys, F.ceil(F.col("_lines") / LINES).alias("_documents"))
     return F.broadcast(large)
 
 
+def _as_found(lineitem: DataFrame, on: str, table: DataFrame, key: str) -> DataFrame:
+    """As many rows of each line item as it gets when looked up in the table.
+
+    Where no key of the table repeats, and none should, these are the line items themselves:
+    they are not joined, nor shuffled for it, to be counted.
+    """
+    keys = table.select(F.col(key).alias(on)).where(F.col(on).isNotNull())
+    if keys.groupBy(on).count().where("count > 1").isEmpty():
+        return lineitem
+    return lookup(lineitem, keys, on)
+
+
 def _with_documents(rows: DataFrame, documents: DataFrame, *keys: str) -> DataFrame:
     """Rows with the number of documents their key is dealt over."""
     joined = rows.join(documents, list(keys), "left")
@@ -100,37 +118,25 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, DataF
     Also the orders of more than one document, see ``_documents_of_keys``.
     """
     tasks = _tasks(lineitem)
-    outcome = F.struct(F.concat(F.lit("Outcome "), F.col("l_linenumber").cast("string")).alias("measure"))
-    name = F.concat_ws(" ", "p_brand", "p_type")
-    condition = (
-        F.when(F.col("has_part").isNull(), None)
-        .when(F.col("l_linenumber") == 5, "")
-        .when(F.col("l_linenumber") == 7, F.concat(F.lit(" "), name, F.lit(" ")))
-        .otherwise(name)
-    )
-    kind = F.when(F.col("p_size") == 49, "")
-    for remainder, value in enumerate(INTERVENTION_TYPES):
-        kind = kind.when(_every(F.col("p_size"), 4, remainder), value)
-    intervention = F.when(
-        F.col("has_part"),
-        F.struct(
-            F.when(F.col("p_size") == 50, " ").otherwise(F.col("p_name")).alias("name"),
-            kind.alias("type"),
-        ),
-    )
-    parts = part.withColumnRenamed("p_partkey", "l_partkey").withColumn("has_part", F.lit(True))
-    found = lookup(lineitem, parts, "l_partkey")
-    documents = _documents_of_keys(found, "l_orderkey")
-    # What the texts are made of.
-    told = ("l_linenumber", "has_part", "p_name", "p_brand", "p_type", "p_size")
-    lines = _with_documents(found, documents, "l_orderkey").select(
+    documents = _documents_of_keys(_as_found(lineitem, "l_partkey", part, "p_partkey"), "l_orderkey")
+    numbered = _with_documents(lineitem, documents, "l_orderkey").select(
         "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
         F.col("l_shipdate").cast("date").alias("ship"),
         F.col("l_suppkey").alias("site"),
-        *told,
         _document("_documents", "l_suppkey", "l_partkey", "l_linenumber", "l_shipdate").alias("document"),
         _document("_documents", "l_suppkey").alias("home"),
     )
+    # A line item takes along two names and a size of its part; a part that is found has a condition.
+    parts = part.select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.concat_ws(" ", "p_brand", "p_type").alias("part_condition"),
+        F.when(F.col("p_size") == 50, " ").otherwise(F.col("p_name")).alias("part_name"),
+        "p_size",
+    )
+    told = ("l_linenumber", "part_condition", "part_name", "p_size")
+    lines = lookup(numbered, parts, "l_partkey")
     # Where a line item and its site belong to different documents, each gets its part.
     own = F.struct(F.col("document"), F.when(F.col("home") == F.col("document"), F.col("site")).alias("site"), F.lit(True).alias("line"))
     away = F.struct(F.col("home").alias("document"), F.col("site"), F.lit(False).alias("line"))
@@ -141,6 +147,18 @@ def _study_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, DataF
     # The one shuffle of the line items; an order of very many lines is dealt by its documents.
     # Shuffled before their texts are built: a task that deals rows holds all of them.
     dealt = dealt.select("l_orderkey", "ship", *told, "to.*").repartition(tasks, "l_orderkey", "document")
+    outcome = F.struct(F.concat(F.lit("Outcome "), F.col("l_linenumber").cast("string")).alias("measure"))
+    name = F.col("part_condition")
+    condition = (
+        F.when(name.isNull(), None)
+        .when(F.col("l_linenumber") == 5, "")
+        .when(F.col("l_linenumber") == 7, F.concat(F.lit(" "), name, F.lit(" ")))
+        .otherwise(name)
+    )
+    kind = F.when(F.col("p_size") == 49, "")
+    for remainder, value in enumerate(INTERVENTION_TYPES):
+        kind = kind.when(_every(F.col("p_size"), 4, remainder), value)
+    intervention = F.when(name.isNotNull(), F.struct(F.col("part_name").alias("name"), kind.alias("type")))
     written = dealt.select(
         "l_orderkey",
         "ship",
@@ -275,18 +293,22 @@ def raw_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    ship = F.col("l_shipdate").cast("date")
-    named = lookup(lineitem, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
-    documents = _documents_of_keys(named, "l_suppkey", "l_partkey")
-    dealt = _with_documents(named, documents, "l_suppkey", "l_partkey").withColumn(
-        "document", _document("_documents", "l_orderkey", "l_linenumber", "l_shipdate")
+    documents = _documents_of_keys(_as_found(lineitem, "l_suppkey", supplier, "s_suppkey"), "l_partkey", "l_suppkey")
+    dealt = _with_documents(lineitem, documents, "l_suppkey", "l_partkey").select(
+        "l_suppkey",
+        "l_partkey",
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_shipdate").cast("date").alias("ship"),
+        "l_linestatus",
+        "l_returnflag",
+        _document("_documents", "l_orderkey", "l_linenumber", "l_shipdate").alias("document"),
     )
     # Shuffled before their texts are built.
     events = dealt.repartition(_tasks(lineitem), "l_suppkey", "l_partkey", "document").select(
         "l_suppkey",
-        "s_name",
         "l_partkey",
-        ship.alias("ship"),
+        "ship",
         F.when(F.col("l_linenumber") == 1, "ORIG").otherwise("SUPPL").alias("kind"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("number"),
         "l_linestatus",
@@ -309,9 +331,16 @@ def _application_documents(lineitem: DataFrame, supplier: DataFrame) -> DataFram
         .otherwise(_coded(F.col("l_returnflag"), REVIEW_TRACK))
         .alias("review_priority"),
     )
-    pairs = events.groupBy("l_suppkey", "l_partkey", "s_name", "document").agg(
+    gathered = events.groupBy("l_suppkey", "l_partkey", "document").agg(
         F.sort_array(F.collect_list(submission)).alias("submissions"), F.max("ship").alias("last_ship")
     )
+    # Names are looked up for documents, not shuffled with line items. A supplier listed twice
+    # under one name has each submission twice, under two names two documents.
+    names = supplier.groupBy(F.col("s_suppkey").alias("l_suppkey"), "s_name").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    repeated = F.flatten(F.transform("submissions", lambda s: F.array_repeat(s, F.col("_times"))))
+    pairs = lookup(gathered, names, "l_suppkey").withColumn(
+        "submissions", F.when(F.col("_times") > 1, repeated).otherwise(F.col("submissions"))
+    )
     part_key = F.col("l_partkey")
     return pairs.select(
         _numbered(F.concat_ws("-", "l_suppkey", "l_partkey"), F.col("document")).alias("application_number"),

@@ -23,6 +23,8 @@ class Model:
     layer: str
     build: Callable[..., DataFrame]
     written: bool = True
+    # Each row comes out of one row of the inputs.
+    row_local: bool = False
 
     @property
     def inputs(self) -> list[str]:
@@ -40,11 +42,11 @@ MODELS = {
     "dim_sponsor": Model("marts", marts.dim_sponsor),
     "dim_condition": Model("marts", marts.dim_condition),
     "dim_intervention": Model("marts", marts.dim_intervention),
-    "bridge_trial_condition": Model("marts", marts.bridge_trial_condition),
-    "bridge_trial_intervention": Model("marts", marts.bridge_trial_intervention),
-    "fct_trials": Model("marts", marts.fct_trials),
-    "fct_approvals": Model("marts", marts.fct_approvals),
-    "application_status": Model("shared", metrics.application_status),
+    "bridge_trial_condition": Model("marts", marts.bridge_trial_condition, row_local=True),
+    "bridge_trial_intervention": Model("marts", marts.bridge_trial_intervention, row_local=True),
+    "fct_trials": Model("marts", marts.fct_trials, row_local=True),
+    "fct_approvals": Model("marts", marts.fct_approvals, row_local=True),
+    "application_status": Model("shared", metrics.application_status, written=False),
     "applicant_years": Model("shared", metrics.applicant_years),
     "fda_sponsors": Model("shared", metrics.fda_sponsors),
     "trial_funnel": Model("shared", metrics.trial_funnel),
@@ -98,6 +100,17 @@ class Warehouse:
             self._tables[name] = frame
         return self._tables[name]
 
+    def rows_of(self, name: str) -> DataFrame:
+        """A table's rows for one pass over some of its columns.
+
+        A row-local model that is not written yet is computed from what it reads, these columns
+        only, and stays unwritten: its keys are digests, which take far more room than what they
+        are made of. Joins take ``table``, whose files have a size to decide on.
+        """
+        if name in self._tables or name not in MODELS or not MODELS[name].row_local:
+            return self.table(name)
+        return MODELS[name].build(*(self.rows_of(source) for source in MODELS[name].inputs))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in MODELS:
             return self.table(name)
