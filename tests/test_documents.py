@@ -6,6 +6,7 @@ import pytest
 from registry import application, rows, study, submission
 from pyspark.errors import PySparkException
 
+from cohortline.plans.metrics import application_status
 from cohortline.sources.documents import parse_applications, parse_studies, unreadable
 
 D = datetime.date
@@ -145,3 +146,11 @@ def test_what_can_be_read(make_warehouse):
     ]
     assert rows(w.stg_trial_conditions) == [("C", "7"), ("C", "Flu")]
     assert [row[0] for row in rows(unreadable(w.raw_studies), "nct_id")] == ["E", "F", "G", "H", "I"]
+
+
+def test_the_status_of_applications_reads_each_document_once(spark):
+    given = [application("1", "A", [submission(status="TA"), submission()]), application("2", "B", []), application("3", "C"), ("4", "no json")]
+    raw = spark.createDataFrame(given, "application_number string, payload string").selectExpr("*", "timestamp '2020-01-01' as fetched_at")
+    status = application_status(parse_applications(raw))
+    assert status._jdf.queryExecution().optimizedPlan().toString().count("variant_get") == 1
+    assert rows(status) == [("1", "A", True, D(2020, 1, 31))]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql.types import StructType
 from registry import rows
 
+from cohortline import keyed
 from cohortline.keyed import BEFORE, KeyedStore
 from cohortline.manifest import Conflict, Manifests
 from cohortline.operators import latest_by_key
@@ -152,3 +153,40 @@ def test_null_keys_are_a_key(spark, store):
     store.merge(records(spark, (None, "1", 1), ("a", "1", 1)), ORDER)
     store.merge(records(spark, (None, "2", 2)), ORDER)
     assert rows(store.read(), "k", "v") == [("a", "1"), (None, "2")]
+
+
+def test_stored_rows_that_a_change_does_not_concern_are_not_shuffled(spark, store, monkeypatch):
+    spread, shuffled = KeyedStore._spread, []
+
+    def counted(self, frame, buckets, rows):
+        shuffled.append(frame.count())
+        return spread(self, frame, buckets, rows)
+
+    monkeypatch.setattr(KeyedStore, "_spread", counted)
+    store.merge(records(spark, *[(f"k{n}", "old", 1) for n in range(2_000)], (None, "old", 1)), ORDER)
+    assert shuffled == []
+    store.merge(records(spark, ("k7", "new", 2), (None, "new", 2), ("other", "new", 2)), ORDER)
+    # Two stored and three incoming rows, and few whose hashes fall on theirs.
+    assert 5 <= shuffled[0] < 50
+    store.merge(records(spark, ("k8", "new", 3)), ORDER)
+    assert store.read().count() == 2_002
+    assert rows(store.read().where("v = 'new'"), "k", "at") == [("k7", 2), ("k8", 3), ("other", 2), (None, 2)]
+
+
+def test_a_bitmap_that_is_too_small_loses_no_row(spark, store, monkeypatch):
+    monkeypatch.setattr(keyed, "MOST_BITS", keyed.CELL // 8)
+    store.merge(records(spark, *[(f"k{n}", "old", 1) for n in range(3_000)]), ORDER)
+    store.merge(records(spark, *[(f"k{n}", "new", 2) for n in range(0, 3_000, 3)]), ORDER)
+    assert store.read().count() == 3_000 and store.read().where("v = 'new'").count() == 1_000
+    assert store.changes(2).where("before.v = 'old' and after.v = 'new'").count() == 1_000
+
+
+def test_a_store_whose_keys_were_hashed_once_goes_on(spark, store, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed, "HASHED", 1)
+        store.merge(records(spark, *[(f"k{n}", "old", 1) for n in range(50)]), ORDER)
+    # States of that time do not tell.
+    since, state = store.manifests.newest()
+    store.manifests.commit(since, {name: value for name, value in state.items() if name != "hashed"})
+    store.merge(records(spark, *[(f"k{n}", "new", 2) for n in range(0, 50, 2)]), ORDER)
+    assert store.read().count() == 50 and store.read().where("v = 'new'").count() == 25
