@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import SF_DIR
 from tokenizers import Tokenizer
@@ -359,3 +360,85 @@ def test_pipeline_stage_by_stage(spark, base):
             assert_packed(after, pieces_of(texts))
             continue
         assert docs.columns == columns
+
+
+def word_hash(word: str) -> int:
+    from cohortline.llm.lm_scoring import words_of
+    from cohortline.llm.textscan import blocks
+
+    return int(words_of(next(blocks(pa.array([word]))))[0].view(np.uint64)[0])
+
+
+def test_words_of_one_hashed_class_are_told_by_their_surroundings(spark, documents):
+    from cohortline.llm import lm_scoring
+    from cohortline.llm.store import Store
+    from cohortline.llm.textscan import blocks
+
+    x, y = [w for w in (f"rare{k}" for k in range(200)) if word_hash(w) % lm_scoring.HASHED_CLASSES == 5][:2]
+    fillers = [f"filler{k}" for k in range(70)]
+    text = " ".join([*fillers * 13, f"left {x} filler1 right {y} filler2 " * 10])
+    frame = documents(*((k, text) for k in range(100)))
+    words, _ = lm_scoring.vocabulary(frame, Store(frame, "test"))
+    w = lm_scoring.unpack(lm_scoring.train(frame, words, 6))
+
+    def score(given: str) -> float:
+        """Log-probability of the second of three words."""
+        hashes, first = lm_scoring.words_of(next(blocks(pa.array([given]))))
+        classes, inputs, shares, _ = words.look_up(hashes)
+        targets = lm_scoring.Targets.of(hashes, classes)
+        return (shares + lm_scoring.log_probabilities(w, words.digits, lm_scoring.contexts(inputs, first), targets))[1]
+
+    assert score(f"left {x} filler1") > score(f"left {y} filler1") + 0.1
+    assert score(f"right {y} filler2") > score(f"right {x} filler2") + 0.1
+
+
+def test_probabilities_of_all_words_add_up_to_one(spark, documents, monkeypatch):
+    from cohortline.llm import lm_scoring
+    from cohortline.llm.store import Store
+
+    monkeypatch.setattr(lm_scoring, "KEPT_WORDS", 500)
+    frame = documents(*((k, " ".join(f"w{n}" for n in range(1, 2_000) if n % (k + 1) == 0)) for k in range(30)))
+    words, counts = lm_scoring.vocabulary(frame, Store(frame, "test"))
+    counted = counts.toArrow()
+    hashes, n = counted["word"].to_numpy().copy(), counted["n"].to_numpy()
+    random = np.random.default_rng(2)
+    w = lm_scoring.unpack(lm_scoring.initial())
+    w["digits"] = random.normal(0, 0.5, w["digits"].shape)
+    classes, _, shares, beyond = words.look_up(hashes)
+    targets = lm_scoring.Targets.of(hashes, classes)
+    rare = beyond[targets.hashed]
+    shares[targets.hashed[rare]] -= np.log(words.digits[targets.rows[rare], targets.values[rare]]).sum(1)
+    shares += np.where(beyond, np.log(n), 0)
+    assert 0 < beyond.sum() < len(hashes) == 1_999
+    around = np.tile(random.integers(0, lm_scoring.INPUTS + 1, len(lm_scoring.OFFSETS)), (len(hashes), 1))
+    logs = shares + lm_scoring.log_probabilities(w, words.digits, around, targets)
+    # All classes have words here but for hashed ones, of which some may have none.
+    _, _, raised, sums = lm_scoring._forward(w, around[:1])
+    assert np.exp(logs).sum() == pytest.approx((raised[0] / sums[0])[np.unique(classes)].sum(), rel=1e-4)
+    assert np.exp(logs).sum() > 0.95
+
+
+def test_gradients_are_those_of_the_scores():
+    from cohortline.llm import lm_scoring
+
+    random = np.random.default_rng(4)
+    words = random.integers(-(1 << 62), 1 << 62, 300)
+    hashed = words.view(np.uint64)
+    classes = np.where(random.random(300) < 0.5, random.integers(0, 64, 300), 64 + (hashed % np.uint64(32)).astype(int))
+    leaves = np.bincount((hashed % np.uint64(lm_scoring.LEAVES)).astype(int), minlength=lm_scoring.LEAVES).astype(float)
+    shares, targets = lm_scoring.digit_shares(leaves), lm_scoring.Targets.of(words, classes)
+    around = lm_scoring.contexts(random.integers(0, lm_scoring.INPUTS, 300), np.arange(0, 301, 50))
+    weights = {name: random.normal(0, 0.3, shape) for name, shape in lm_scoring.SHAPES.items()}
+
+    def score(name, place, by):
+        moved = {**weights, name: weights[name].copy()}
+        moved[name][place] += by
+        return lm_scoring.log_probabilities(moved, shares, around, targets).mean()
+
+    # With squares as large as these, a step is the gradient times a fixed rate.
+    after, size = {name: value.copy() for name, value in weights.items()}, 1e12
+    lm_scoring.train_step(after, {name: np.full(shape, size) for name, shape in lm_scoring.SHAPES.items()}, shares, around, targets)
+    for name in lm_scoring.SHAPES:
+        gradient = (after[name] - weights[name]) / lm_scoring.RATE * np.sqrt(size)
+        place = np.unravel_index(np.argmax(np.abs(gradient)), gradient.shape)
+        assert gradient[place] == pytest.approx((score(name, place, 1e-5) - score(name, place, -1e-5)) / 2e-5, rel=1e-2), name
