@@ -181,12 +181,12 @@ def test_a_bitmap_that_is_too_small_loses_no_row(spark, store, monkeypatch):
     assert store.changes(2).where("before.v = 'old' and after.v = 'new'").count() == 1_000
 
 
-def test_a_store_whose_keys_were_hashed_once_goes_on(spark, store, monkeypatch):
+def test_a_store_of_the_former_hash_goes_on(spark, store, monkeypatch):
     with monkeypatch.context() as patch:
-        patch.setattr(keyed, "HASHED", 1)
+        patch.setattr(keyed, "HASH", keyed.FORMER_HASH)
         store.merge(records(spark, *[(f"k{n}", "old", 1) for n in range(50)]), ORDER)
     # States of that time do not tell.
     since, state = store.manifests.newest()
-    store.manifests.commit(since, {name: value for name, value in state.items() if name != "hashed"})
+    store.manifests.commit(since, {name: value for name, value in state.items() if name != "hash"})
     store.merge(records(spark, *[(f"k{n}", "new", 2) for n in range(0, 50, 2)]), ORDER)
     assert store.read().count() == 50 and store.read().where("v = 'new'").count() == 25
